@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 COPIES = "__copies"
 PIECE = "__piece"
+TASK = "__task"
 
 
 def fold_copies(df: DataFrame, max_copies: int) -> DataFrame:
@@ -28,23 +29,17 @@ def fold_copies(df: DataFrame, max_copies: int) -> DataFrame:
     )
 
 
-def unfold_copies(df: DataFrame) -> DataFrame:
-    """Inverse of ``fold_copies``; keeps the order of the rows."""
-    columns = [c for c in df.columns if c not in (COPIES, PIECE)]
-    repeated = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(COPIES)))
-    return df.select(*columns, repeated.alias("__i")).select(*columns)
-
-
-def sort_whole(df: DataFrame, order, max_copies: int = 1_000_000) -> DataFrame:
+def sort_whole(df: DataFrame, order) -> DataFrame:
     """Global sort whose range partitions stay even.
 
     The remaining columns break ties, so rows that only share the sort keys go
-    to different tasks, and exact copies travel as a count.
+    to different tasks. Exact copies are told apart by the task they come from:
+    a task that is run again has the same rows and the same number, which would
+    not hold for a random or a row number.
     """
     order = [F.col(o) if isinstance(o, str) else o for o in order]
-    folded = fold_copies(df, max_copies)
     ties = [F.col(c) for c in df.columns]
-    return unfold_copies(folded.orderBy(*order, *ties, PIECE))
+    return df.withColumn(TASK, F.spark_partition_id()).orderBy(*order, *ties, TASK).drop(TASK)
 
 
 def bounded_lists(
