@@ -121,10 +121,9 @@ def day_requests_scan(spark, sf_dir):
 def json_feature_file(spark, sf_dir):
     """Features exported as compressed JSON lines and read back by schema."""
     path = f"{new_work_dir(spark)}/features"
-    features = extract_features(V.flights(spark, sf_dir)).withColumn(
-        # The file holds the UTC wall clock whatever the session time zone.
-        "CRSDepTime", F.date_format(F.to_utc_timestamp("CRSDepTime", F.current_timezone()), "yyyy-MM-dd HH:mm:ss")
-    )
+    selected = filters.drop_unlabelled(projections.select_features(V.flights(spark, sf_dir)))
+    # The file holds the UTC wall clock whatever the session time zone.
+    features = derive_features(selected, ntz=True).withColumn("CRSDepTime", F.col("CRSDepTime").cast("string"))
     files.export_json(features, path, compression="gzip")
     wall_clock = StructType(
         [StructField(f.name, f.dataType) for f in FEATURES.fields if f.name not in ("CRSDepTime", "CRSArrTime")]

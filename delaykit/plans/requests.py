@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame
 
 from delaykit.operators.filters import split_valid
 from delaykit.operators.lookups import with_distance
+from delaykit.operators.ml import assembler
 from delaykit.operators.projections import strip_ml_columns, to_storage, with_route
 from delaykit.operators.requests import default_request, with_date_parts
 
@@ -23,6 +24,15 @@ def score(model: PipelineModel, requests: DataFrame) -> DataFrame:
     return strip_ml_columns(model.transform(with_route(requests)))
 
 
+def score_indexed(model: PipelineModel, requests: DataFrame) -> DataFrame:
+    """Score requests whose sender already filled in the category indexes.
+
+    Only the forest of the model is used; a missing number or index becomes NaN.
+    """
+    vectors = assembler("keep").transform(with_route(requests))
+    return strip_ml_columns(model.stages[-1].transform(vectors))
+
+
 def respond(model: PipelineModel, requests: DataFrame) -> DataFrame:
     """Scored requests as stored responses."""
     return to_storage(score(model, requests))

@@ -52,7 +52,7 @@ def export_json(
     """
     writer_rows = df
     if single_file:
-        if df.limit(single_file_rows + 1).count() > single_file_rows:
+        if df.count() > single_file_rows:
             raise ValueError(f"more than {single_file_rows} rows: write several files")
         writer_rows = df.coalesce(1)
     if order_by:

@@ -64,16 +64,13 @@ def compact_keyed(spark: SparkSession, root: str, new_root: str, keys: list[str]
 
 
 def merge_keyed(df: DataFrame, table: str, keys: list[str], order_col: str) -> None:
-    """Upsert into a catalog table that supports MERGE; older rows do not win."""
-    source, target = "s", "t"
-    updates = latest_per_key(df, keys, order_col).alias(source)
-    condition = " AND ".join(f"{source}.{k} <=> {target}.{k}" for k in keys)
-    # MERGE names its target by the table, so the alias is set up as a SQL statement.
-    updates.createOrReplaceTempView("__keyed_updates")
+    """Upsert into a catalog table that supports MERGE; an older row does not win."""
+    same_key = " AND ".join(f"s.{k} <=> t.{k}" for k in keys)
     df.sparkSession.sql(
-        f"MERGE INTO {table} AS {target} USING __keyed_updates AS {source} ON {condition} "
-        f"WHEN MATCHED AND ({target}.{order_col} IS NULL OR {source}.{order_col} >= {target}.{order_col}) "
-        "THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
+        f"MERGE INTO {table} AS t USING {{updates}} AS s ON {same_key} "
+        f"WHEN MATCHED AND (t.{order_col} IS NULL OR s.{order_col} >= t.{order_col}) THEN UPDATE SET * "
+        "WHEN NOT MATCHED THEN INSERT *",
+        updates=latest_per_key(df, keys, order_col),
     )
 
 
