@@ -50,6 +50,15 @@ def catalog_conf(env) -> dict[str, str]:
     return conf
 
 
+def shuffle_conf(shuffle_bytes: int, partition_bytes: int = 512 * 1024**2) -> dict[str, str]:
+    """Number of shuffle partitions for the bytes a job's largest shuffle moves.
+
+    Adaptive execution merges partitions that turn out small but cannot make
+    more of them, so a large job has to start with enough.
+    """
+    return {"spark.sql.shuffle.partitions": str(max(200, -(-int(shuffle_bytes) // partition_bytes)))}
+
+
 def build_session(app_name="delaykit", conf=None, master=None, env=None) -> SparkSession:
     """Session with adaptive defaults, store settings from ``env``, then ``conf``."""
     env = os.environ if env is None else env

@@ -12,7 +12,7 @@ from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import functions as F
 
 from delaykit.schemas import BATCH_REQUEST, FEATURES, STREAM_REQUEST
-from delaykit.session import catalog_conf, new_work_dir, object_store_conf
+from delaykit.session import catalog_conf, new_work_dir, object_store_conf, shuffle_conf
 from delaykit.sources import distances, documents, files, models, tables, topics
 
 RECORD = {
@@ -185,6 +185,11 @@ def test_session_settings_come_from_the_environment(spark):
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
 
 
+def test_shuffle_partitions_follow_the_data():
+    assert shuffle_conf(1) == {"spark.sql.shuffle.partitions": "200"}
+    assert shuffle_conf(20 * 1024**4) == {"spark.sql.shuffle.partitions": "40960"}
+
+
 def test_work_dir_is_below_the_shared_folder(spark):
     before = spark.conf.get("spark.checkpoint.dir", None)
     if before:
