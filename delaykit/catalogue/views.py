@@ -7,11 +7,15 @@ and orders get their destination before they meet the line items, so that the
 largest table is never shuffled by customer.
 """
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+@lru_cache(maxsize=None)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table; its schema is read from the file once per session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -82,7 +82,13 @@ def train(
         seed=seed,
     )
     ready = vectors.transform(indexes.transform(labelled)).select(FEATURES, LABEL)
-    return PipelineModel(stages=[indexes, vectors, forest.fit(ready)])
+    return PipelineModel(stages=[indexes, vectors, forest.fit(_spread(ready))])
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """Use every core for the forest's repeated passes where the input has too few partitions."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def split_holdout(df: DataFrame, holdout: float = 0.2, seed: int = 27) -> tuple[DataFrame, DataFrame]:
