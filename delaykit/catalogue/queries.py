@@ -160,6 +160,17 @@ def loaded_distances(spark, sf_dir):
     return distance_source.load_distances(spark, path)
 
 
+@query('SELECT "UUID", "Origin", "Dest", "Timestamp" FROM requests', *REQUESTS)
+def published_table(spark, sf_dir):
+    """Requests as a catalog table, laid out by UUID and replaced once."""
+    folder = new_work_dir(spark)
+    name = f"delaykit_{folder.rsplit('/', 1)[-1]}"
+    asked = V.requests(spark, sf_dir)
+    tables.publish_table(asked.select("UUID"), name, location=f"{folder}/table")
+    kept = asked.select("UUID", "Origin", "Dest", "Timestamp")
+    return tables.publish_table(kept, name, bucket_by=(8, ["UUID"]), location=f"{folder}/table")
+
+
 def _later_responses(answered: DataFrame) -> DataFrame:
     number = F.substring("UUID", 5, 20).cast("bigint")
     return answered.filter(number % 3 == 0).select(

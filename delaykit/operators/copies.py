@@ -58,7 +58,8 @@ def bounded_lists(
     item; ``total`` is that of the whole key. ``item`` of one column gives a
     plain array, of several an array of structs. ``distinct`` drops copies.
     """
-    rows = fold_copies(df.select(*keys, *item), max_items)
+    # Pieces well below the limit, so that the parts of a hot row even out.
+    rows = fold_copies(df.select(*keys, *item), max(1, max_items // 16))
     if distinct:
         rows = rows.filter(F.col(PIECE) == 0).withColumn(COPIES, F.lit(1).cast("bigint"))
     sizes = rows.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.sum(COPIES).alias(total))

@@ -15,13 +15,18 @@ def register(df: DataFrame, name: str) -> DataFrame:
 
 
 def publish_table(
-    df: DataFrame, table: str, provider: str = "parquet", bucket_by: tuple[int, list[str]] | None = None
+    df: DataFrame,
+    table: str,
+    provider: str = "parquet",
+    bucket_by: tuple[int, list[str]] | None = None,
+    location: str | None = None,
 ) -> DataFrame:
     """Create or replace a catalog table, with its namespace, and read it back.
 
     ``iceberg`` replaces by snapshot through the catalog; file providers go
     through the session catalog, where ``bucket_by`` = (buckets, columns) lays
-    the rows out so that later joins on those columns need no shuffle.
+    the rows out so that later joins on those columns need no shuffle, and
+    ``location`` keeps the files outside the warehouse.
     """
     spark = df.sparkSession
     namespace, _, _ = table.rpartition(".")
@@ -31,6 +36,8 @@ def publish_table(
         df.writeTo(table).using(provider).createOrReplace()
     else:
         writer = df.write.format(provider).mode("overwrite")
+        if location:
+            writer = writer.option("path", location)
         if bucket_by:
             buckets, columns = bucket_by
             writer = writer.bucketBy(buckets, *columns).sortBy(*columns)

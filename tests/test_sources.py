@@ -9,6 +9,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.errors import UnsupportedOperationException
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from delaykit.schemas import BATCH_REQUEST, FEATURES, STREAM_REQUEST
@@ -145,6 +146,14 @@ def test_document_store_round_trip(spark, tmp_path):
     assert spark.read.parquet(sink).count() == 2
 
 
+def test_store_append_passes_table_and_keyspace(spark, monkeypatch):
+    seen = {}
+    original = DataFrameWriter.options
+    monkeypatch.setattr(DataFrameWriter, "options", lambda self, **kw: seen.update(kw) or original(self, **kw))
+    tables.append_store(spark.range(3), "responses", "delays", fmt="noop")
+    assert seen == {"table": "responses", "keyspace": "delays"}
+
+
 def test_topic_round_trip(spark, tmp_path):
     path = str(tmp_path / "topic")
     df = spark.createDataFrame([("u1", "ATL", 5.0), ("u2", None, None)], "UUID string, Origin string, DepDelay double")
