@@ -11,7 +11,7 @@ from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType, IntegerType
+from pyspark.sql.types import StructField, StructType
 
 from delaykit import functions as DF
 from delaykit.catalogue import views as V
@@ -143,7 +143,7 @@ def json_feature_file(spark, sf_dir):
 )
 def json_inferred_file(spark, sf_dir):
     path = f"{new_work_dir(spark)}/distances"
-    files.export_json(aggregates.route_distances(V.flights(spark, sf_dir)), path, order_by=["Distance"])
+    files.export_json(aggregates.route_distances(V.flights(spark, sf_dir), None), path, order_by=["Distance"])
     profile = files.describe(files.read_json_inferred(spark, path))
     return profile.select("n", F.array_join("columns", ",").alias("columns"))
 
@@ -172,7 +172,7 @@ def published_table(spark, sf_dir):
 
 
 def _later_responses(answered: DataFrame) -> DataFrame:
-    number = F.substring("UUID", 5, 20).cast("bigint")
+    number = F.expr("substring(UUID, 5)").cast("bigint")
     return answered.filter(number % 3 == 0).select(
         "UUID",
         (F.col("Prediction") + 10).alias("Prediction"),
@@ -308,16 +308,11 @@ def routes(spark, sf_dir):
 
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events")
 def parsed_messages(spark, sf_dir):
-    messages = V.table(spark, sf_dir, "events").select("event_id", F.col("props").cast("binary").alias("value"))
-    schema = StructType([StructField("k", IntegerType())])
-    # The id travels in the message, as a UUID does.
-    with_id = messages.select(
-        F.concat(
-            F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(", "),
-            F.substring(F.col("value").cast("string"), 2, 1_000_000),
-        ).alias("value")
-    )
-    return request_ops.parse_requests(with_id, StructType.fromDDL("event_id bigint").add(schema["k"]))
+    """Event properties as message bytes; the id is written into the message, as a UUID is."""
+    events = V.table(spark, sf_dir, "events")
+    message = F.expr("""concat('{"event_id": ', event_id, ', ', substring(props, 2))""")
+    messages = events.select(message.cast("binary").alias("value"))
+    return request_ops.parse_requests(messages, StructType.fromDDL("event_id bigint, k int"))
 
 
 @query(
@@ -416,7 +411,7 @@ def defaulted_requests(spark, sf_dir):
 def stamped_requests(spark, sf_dir):
     """Every request gets a distinct id; half of them bring their own."""
     asked = V.requests(spark, sf_dir)
-    number = F.substring("UUID", 5, 20).cast("bigint")
+    number = F.expr("substring(UUID, 5)").cast("bigint")
     own = asked.withColumn("own_id", F.when(number % 2 == 0, F.col("UUID")))
     stamped = request_ops.stamp_requests(own, "own_id")
     return stamped.agg(
