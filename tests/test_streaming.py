@@ -6,7 +6,6 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
-from pyspark.sql import functions as F
 
 from delaykit.operators.requests import default_request
 from delaykit.plans.requests import respond
