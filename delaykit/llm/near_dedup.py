@@ -9,12 +9,14 @@
 4. *Prefix*: with all pairs in one global order, rarest first, two classes with ``MATCHES`` agreements meet
    in the first ``COORDINATES - MATCHES + 1`` pairs of each, so only these are joined. The longest lists,
    such as those of a passage that thousands of texts share, drop out.
-5. In each list, all members are held against one *centre*, the class with most company. That is linear in
-   the list. Those that reach the threshold on their full sets are linked.
+5. In each list, all members are held against two others: the *centre*, which is the class with most
+   company, and one picked by hash, which differs from list to list. That is linear in the list. Those that
+   reach the threshold on their full sets are linked.
 6. Members left outside the centre's component are held against the list's other components, but only
    where it can matter: Jaccard distance is a metric, so two classes whose distances to the centre differ
-   by more than the threshold's distance cannot be linked, nor those with too unlike sizes. Surviving pairs
-   count their agreements and then meet on full sets.
+   by more than the threshold's distance cannot be linked, nor those with too unlike sizes, nor those whose
+   bitmaps (the parity of the shingles in each of ``BITS`` bins) differ in more bits than two linked sets
+   may differ in shingles. Surviving pairs count their agreements and then meet on full sets.
 
 Components, not links, are the result, so pairs within a component found in step 5 are left out of step 6.
 The chance that a pair exactly at 0.85 has fewer than 42 agreements of 64 is below 1 in 10,000; pairs well
@@ -26,6 +28,9 @@ a null id is kept, without component; an empty table gives no rows; other column
 with one id have different texts, the id stands for the set with the smallest hash.
 """
 
+from functools import reduce
+from operator import add
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -39,6 +44,7 @@ WORDS = 3
 PERCENT = 85
 COORDINATES = 64
 MATCHES = 42
+BITS = 1024
 
 
 def shingle_set(text: str | None, words: int) -> np.ndarray:
@@ -101,22 +107,36 @@ def set_hash(shingles: np.ndarray) -> np.uint64:
     return shingles.sum(dtype=np.uint64)
 
 
+def parity_bits(shingles: np.ndarray) -> np.ndarray:
+    """Whether each bin of hashes holds an odd number, as bits of long integers."""
+    bins = np.bincount((shingles >> U64(64 - BITS.bit_length() + 1)).astype(np.int64), minlength=BITS)
+    return np.packbits(bins & 1).view(np.int64)
+
+
+def apart(x: str, y: str) -> Column:
+    """Number of bits in which two bitmaps differ: no more than the shingles that one set has and the other lacks."""
+    return reduce(add, [F.bit_count(F.get(x, i).bitwiseXOR(F.get(y, i))) for i in range(BITS // 64)])
+
+
 def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """(doc_id, shingles) of the sets in ``wanted`` (doc_id, h1)."""
+    """(doc_id, shingles, bits) of the sets in ``wanted`` (doc_id, h1)."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
-            ids, sets = [], []
+            ids, sets, bits = [], [], []
             for doc, text, h1 in zip(*(c.to_pylist() for c in batch.columns)):
                 found = shingle_set(text, words)
                 if set_hash(found).astype(np.int64) == h1:
                     ids.append(doc)
                     sets.append(found.view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, batch.column(0).type), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "shingles"])
+                    bits.append(parity_bits(found))
+            longs = pa.list_(pa.int64())
+            columns = [pa.array(ids, batch.column(0).type), pa.array(sets, longs), pa.array(bits, longs)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "shingles", "bits"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(wanted.select("doc_id", "h1"), "doc_id")
-    return rows.mapInArrow(run, f"doc_id {kind}, shingles array<bigint>")
+    return rows.mapInArrow(run, f"doc_id {kind}, shingles array<bigint>, bits array<bigint>")
 
 
 def alike(percent: int) -> Column:
@@ -163,11 +183,18 @@ def near_links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str,
     posted = stored(postings(classes, coordinates, matches), "postings")
     wanted = posted.select("rep").distinct().join(classes, "rep").select(F.col("rep").alias("doc_id"), "h1")
     sets = stored(shingle_sets(docs, wanted, id_col, text_col, words), "sets")
-    centres = posted.groupBy("key").agg(
-        F.max(F.struct(F.col("weight"), F.col("rep"))).alias("top"), F.count(F.lit(1)).alias("members")
-    ).filter("members > 1").select("key", F.col("top.rep").alias("centre"))
+    centres = (
+        posted.groupBy("key")
+        .agg(
+            F.max(F.struct("weight", "rep")).alias("top"),
+            F.min(F.struct(F.xxhash64("key", "rep").alias("hash"), F.col("rep"))).alias("any"),
+            F.count(F.lit(1)).alias("members"),
+        )
+        .filter("members > 1")
+        .select("key", F.col("top.rep").alias("centre"), F.col("any.rep").alias("other"))
+    )
     placed = posted.select("key", "rep", "n_shingles").join(centres, "key")
-    stars = placed.filter("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
+    stars = placed.select(F.explode(F.array("centre", "other")).alias("a"), F.col("rep").alias("b")).filter("a <> b").distinct()
     held = stored(compared(stars, sets, percent), "stars")
     linked = held.filter("linked").select("a", "b")
 
@@ -182,14 +209,17 @@ def near_links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str,
     heart = members.filter("central").select("key", F.col("part").alias("heart"))
     rest = members.join(heart, "key").filter("part <> heart and not central").drop("heart", "central")
     reach = 1 - percent / 100 + 1e-9
-    x, y = rest.alias("x"), members.filter("not central").alias("y")
+    bits = sets.select(F.col("doc_id").alias("rep"), "bits")
+    others = members.filter("not central").join(rest.select("key").distinct(), "key", "left_semi")
+    x, y = rest.join(bits, "rep").alias("x"), others.join(bits, "rep").alias("y")
     pairs = (
         x.join(
             y,
             (F.col("x.key") == F.col("y.key"))
             & (F.col("x.part") != F.col("y.part"))
             & (F.abs(F.col("x.away") - F.col("y.away")) <= reach)
-            & (100 * F.least("x.n_shingles", "y.n_shingles") >= percent * F.greatest("x.n_shingles", "y.n_shingles")),
+            & (100 * F.least("x.n_shingles", "y.n_shingles") >= percent * F.greatest("x.n_shingles", "y.n_shingles"))
+            & ((100 + percent) * apart("x.bits", "y.bits") <= (100 - percent) * (F.col("x.n_shingles") + F.col("y.n_shingles"))),
         )
         .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
         .distinct()

@@ -97,3 +97,37 @@ def op9_packing(spark, sf_dir):
     from delaykit.llm.packing import pack
 
     return pack(table(spark, sf_dir, "documents"), BYTE_VOCABULARY)
+
+
+@query()
+def op2_fingerprints(spark, sf_dir):
+    from delaykit.llm.fingerprints import compare_neighbours
+
+    return compare_neighbours(table(spark, sf_dir, "documents"))
+
+
+OP10_SQL = """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages
+), firsts AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload) AS first FROM payloads
+), fives AS (
+  SELECT *, list_transform(range(8), lambda i: ('0x' || substr(hex, CAST(1 + 5 * i AS INT), 5))::BIGINT) AS n FROM firsts
+)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST(1 + ((n[CAST(i // 4 + 1 AS INT)] >> CAST(15 - 5 * (i % 4) AS INT)) & 31) AS INT), 1)), '') AS payload_digest,
+  CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first < page_id THEN first END AS refers_to, true AS complete
+FROM fives
+"""
+
+
+@query(OP10_SQL)
+def op10_warc(spark, sf_dir):
+    from delaykit.llm.warc import page_records, read_archives, write_archives
+    from delaykit.session import new_work_dir
+
+    path = f"{new_work_dir(spark)}/archives"
+    write_archives(table(spark, sf_dir, "pages"), path)
+    return page_records(read_archives(spark, path))
