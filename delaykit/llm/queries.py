@@ -4,6 +4,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from delaykit.llm.common import table
 
@@ -131,3 +132,56 @@ def op10_warc(spark, sf_dir):
     path = f"{new_work_dir(spark)}/archives"
     write_archives(table(spark, sf_dir, "pages"), path)
     return page_records(read_archives(spark, path))
+
+
+@query()
+def op3_lm_scoring(spark, sf_dir):
+    from delaykit.llm.lm_scoring import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op4_sentence_pieces(spark, sf_dir):
+    from delaykit.llm.sentence_pieces import encode_digests
+
+    return encode_digests(table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
+def mailed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The turns of ``conversations`` as mails: each quotes the two turns before it, the older one twice over.
+
+    A turn whose number is divisible by 3 quotes the one before it alone.
+    """
+    turns = table(spark, sf_dir, "conversations")
+    id_of = F.col("conv_id") * 1000 + F.col("turn")
+    marked = lambda text: F.regexp_replace(text, r"(?m)^", "> ")
+    own = turns.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+
+    def before(n: int) -> DataFrame:
+        return own.select("conv_id", (F.col("turn") + n).alias("turn"), F.col("text").alias(f"text_{n}"))
+
+    first = own.join(before(1), ["conv_id", "turn"], "left").join(before(2), ["conv_id", "turn"], "left")
+    # What the message before looked like, without what it quoted from further back.
+    above = F.when(
+        F.col("text_2").isNotNull() & (F.col("turn") % 3 != 0), F.concat(marked(F.col("text_2")), F.lit("\n"), F.col("text_1"))
+    ).otherwise(F.col("text_1"))
+    body = F.when(
+        F.col("text_1").isNotNull(), F.concat(F.lit("On Monday somebody wrote:\n"), marked(above), F.lit("\n"), F.col("text"))
+    ).otherwise(F.col("text"))
+    return first.select(id_of.alias("message_id"), "role", body.alias("text"))
+
+
+@query()
+def op5_chat_quotes(spark, sf_dir):
+    from delaykit.llm.chat_quotes import conversations
+
+    return conversations(mailed(spark, sf_dir))
+
+
+@query()
+def op6_importance(spark, sf_dir):
+    from delaykit.llm.importance import importance_resample
+
+    good = table(spark, sf_dir, "labels").filter("quality = 1")
+    return importance_resample(table(spark, sf_dir, "documents"), good)
