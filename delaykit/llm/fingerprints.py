@@ -30,28 +30,39 @@ from delaykit.llm.common import U64, mix, words_of
 SAMPLES = 64
 RANGE_ROWS = 4000
 #: Terms whose variates are held at once.
-TERMS = 8192
+TERMS, TILE = 32768, 128
 GOLDEN = U64(0x9E3779B97F4A7C15)
+U32 = np.uint32
+
+
+def _scrambled(x: np.ndarray) -> np.ndarray:
+    """Finaliser of 32-bit hashes, in place."""
+    x ^= x >> U32(16)
+    x *= U32(0x85EBCA6B)
+    x ^= x >> U32(13)
+    x *= U32(0xC2B2AE35)
+    x ^= x >> U32(16)
+    return x
 
 
 def _uniform(seeds: np.ndarray, number: int) -> np.ndarray:
-    drawn = mix(seeds + U64(number * 0xD1342543DE82EF95 % 2**64))
-    return ((drawn >> U64(11)).astype(np.float64) + 0.5) * 2.0**-53
+    drawn = _scrambled(seeds + U32(number * 0x9E3779B9 % 2**32))
+    return ((drawn >> U32(9)).astype(np.float32) + np.float32(0.5)) * np.float32(2.0**-23)
 
 
 def variates(terms: np.ndarray, samples: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """r and log(c), from Gamma(2, 1), and beta, uniform, of each term and sample."""
-    seeds = mix(terms[:, None] + GOLDEN * np.arange(1, samples + 1, dtype=np.uint64))
-    r = -np.log(_uniform(seeds, 1) * _uniform(seeds, 2))
-    log_c = np.log(-np.log(_uniform(seeds, 3) * _uniform(seeds, 4)))
-    return r.astype(np.float32), log_c.astype(np.float32), _uniform(seeds, 5).astype(np.float32)
-
-
-def smallest(log_weights: np.ndarray, r, log_c, beta) -> tuple[np.ndarray, np.ndarray]:
-    """For each sample, the place of the chosen term and its step."""
-    steps = np.floor(log_weights[:, None] / r + beta)
-    chosen = (log_c - r * (steps - beta + 1)).argmin(0)
-    return chosen, steps[chosen, np.arange(r.shape[1])]
+    shape = len(terms), samples
+    r, log_c, beta = (np.empty(shape, np.float32) for _ in range(3))
+    low, high = terms.astype(np.uint32), (terms >> U64(32)).astype(np.uint32)
+    numbers = _scrambled(np.arange(1, samples + 1, dtype=np.uint32) * U32(0x85EBCA77))
+    for k in range(0, len(terms), TILE):  # stays in the cache
+        own = slice(k, k + TILE)
+        seeds = _scrambled(_scrambled(low[own, None] ^ numbers) + high[own, None])
+        r[own] = -np.log(_uniform(seeds, 1) * _uniform(seeds, 2))
+        log_c[own] = np.log(-np.log(_uniform(seeds, 3) * _uniform(seeds, 4)))
+        beta[own] = _uniform(seeds, 5)
+    return r, log_c, beta
 
 
 def fingerprints(texts: list[str | None], samples: int = SAMPLES) -> list[bytes]:
@@ -61,21 +72,30 @@ def fingerprints(texts: list[str | None], samples: int = SAMPLES) -> list[bytes]
     first = 0
     while first < len(bags):
         places: dict[bytes, int] = {}
-        last = first
-        while last < len(bags) and (last == first or len(places) < TERMS):
-            for word in bags[last]:
-                places.setdefault(word, len(places))
-            last += 1
+        rows: list[list[int]] = []
+        for bag in bags[first:]:
+            if rows and len(places) >= TERMS:
+                break
+            rows.append([places.setdefault(word, len(places)) for word in bag])
+        chunk = bags[first : first + len(rows)]
         terms = np.fromiter(map(xxhash.xxh3_64_intdigest, places), np.uint64, len(places))
         # A single long text may hold more terms than fit; its terms are then taken in parts.
-        if last == first + 1 and len(places) > TERMS:
-            out.append(_long(terms, np.fromiter(bags[first].values(), np.float32, len(terms)), samples))
+        if len(chunk) == 1 and len(places) > TERMS:
+            out.append(_long(terms, np.fromiter(chunk[0].values(), np.float32, len(terms)), samples))
         else:
             r, log_c, beta = variates(terms, samples)
-            ones = log_c - r * (1 - beta)  # the value of a term that occurs once
-            for bag in bags[first:last]:
-                out.append(_sampled(bag, places, terms, r, log_c, beta, ones, samples))
-        first = last
+            ones = _once(r, log_c, beta)
+            out += [_sampled(bag, np.array(at, np.int64), terms, r, log_c, beta, ones, samples) for bag, at in zip(chunk, rows)]
+        first += len(chunk)
+    return out
+
+
+def _once(r: np.ndarray, log_c: np.ndarray, beta: np.ndarray) -> np.ndarray:
+    """The value of a term that occurs once: its step is 0."""
+    out = np.empty_like(r)
+    for k in range(0, len(r), TILE):
+        own = slice(k, k + TILE)
+        out[own] = log_c[own] - r[own] * (1 - beta[own])
     return out
 
 
@@ -83,10 +103,9 @@ def _coded(terms: np.ndarray, steps: np.ndarray) -> bytes:
     return (mix(terms + steps.astype(np.int64).view(np.uint64) * GOLDEN) >> U64(48)).astype("<u2").tobytes()
 
 
-def _sampled(bag, places, terms, r, log_c, beta, ones, samples) -> bytes:
+def _sampled(bag, at, terms, r, log_c, beta, ones, samples) -> bytes:
     if not bag:
         return b""
-    at = np.fromiter((places[w] for w in bag), np.int64, len(bag))
     weights = np.fromiter(bag.values(), np.float32, len(bag))
     values = ones[at]
     more = np.flatnonzero(weights > 1)
@@ -95,7 +114,9 @@ def _sampled(bag, places, terms, r, log_c, beta, ones, samples) -> bytes:
         k = at[more]
         steps = np.floor(np.log(weights[more])[:, None] / r[k] + beta[k])
         values[more] = log_c[k] - r[k] * (steps - beta[k] + 1)
-    chosen = values.argmin(0)
+    rows, columns = np.nonzero(values == values.min(0))  # faster than argmin, which takes the first as well
+    chosen = np.zeros(samples, np.int64)
+    chosen[columns[::-1]] = rows[::-1]
     row = np.full(len(bag), -1)
     row[more] = np.arange(len(more))
     own = row[chosen]

@@ -195,13 +195,13 @@ def score_documents(
         out: dict[str, list] = {k: [] for k in ("n_tokens", "n_known", "base_score", "score", "n_bytes")}
         for text in left["text"].to_pylist():
             own = words_of(text)
-            found = [base[w] for w in own] + [base[END_TOKEN]]
-            grams = gram_codes(own, order)
-            out["n_tokens"].append(len(found))
-            out["n_known"].append(sum(f[0] for f in found))
-            out["base_score"].append(math.fsum(f[1] for f in found))
-            out["score"].append(sum(float(logs[np.searchsorted(codes, grams[k : k + PART])].sum()) for k in range(0, len(grams), PART)))
-            out["n_bytes"].append(len(grams))
+            found = [(n, *base[w]) for w, n in Counter(own).items()] + [(1, *base[END_TOKEN])]
+            grams, times = np.unique(gram_codes(own, order), return_counts=True)
+            out["n_tokens"].append(len(own) + 1)
+            out["n_known"].append(sum(n for n, known, _ in found if known))
+            out["base_score"].append(math.fsum(n * log for n, _, log in found))
+            out["score"].append(float((logs[np.searchsorted(codes, grams)] * times).sum()))
+            out["n_bytes"].append(int(times.sum()))
         return pa.table({
             "id": left["id"], "held_out": left["held_out"], "n_tokens": pa.array(out["n_tokens"], pa.int64()),
             "n_known": pa.array(out["n_known"], pa.int64()), "train_tokens": pa.array([total] * len(left), pa.int64()),
