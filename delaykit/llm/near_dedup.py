@@ -231,7 +231,8 @@ def near_links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str,
         .select("a", "b")
     )
     more = compared(enough, sets, percent).filter("linked").select("a", "b")
-    return linked.union(more)
+    # A component's links are as good as one link from each member to its first.
+    return parts.select(F.col("component").alias("a"), F.col("node").alias("b")).filter("a <> b").union(more)
 
 
 def near_duplicates(
