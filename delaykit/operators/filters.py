@@ -57,12 +57,12 @@ def split_valid(df: DataFrame, required=REQUIRED_FIELDS) -> tuple[DataFrame, Dat
     return valid, checked.filter(F.col("error").isNotNull())
 
 
-def split_scorable(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """As ``split_valid``, and the numbers the model needs must be there too.
+def split_scorable(df: DataFrame, also=()) -> tuple[DataFrame, DataFrame]:
+    """As ``split_valid``, and the numbers the model needs, and ``also``, must be there too.
 
     A null number would stop the whole batch in the vector assembler.
     """
-    return split_valid(df, [*REQUIRED_FIELDS, *NUMERIC_COLUMNS])
+    return split_valid(df, [*REQUIRED_FIELDS, *NUMERIC_COLUMNS, *also])
 
 
 def search(df: DataFrame, criteria: dict, fields=None) -> DataFrame:

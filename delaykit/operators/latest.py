@@ -25,8 +25,8 @@ def _one_per_key(df: DataFrame, keys: list[str], order_cols: list[str], pick) ->
     )
 
 
-def latest_per_key(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
-    return _one_per_key(df, keys, [order_col], F.max)
+def latest_per_key(df: DataFrame, keys: list[str], *order_cols: str) -> DataFrame:
+    return _one_per_key(df, keys, list(order_cols), F.max)
 
 
 def first_per_key(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:

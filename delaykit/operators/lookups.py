@@ -41,27 +41,21 @@ def request_status(requests: DataFrame, responses: DataFrame) -> DataFrame:
 def await_responses(requests: DataFrame, responses: DataFrame, timeout: str = WAIT_LIMIT) -> DataFrame:
     """Requests answered within ``timeout``, or timed out.
 
-    Responses are keyed by UUID; of several with one id the first one counts.
+    Request ids are unique. Of several responses with one id the first within the time counts; those before
+    the request or after its limit do not.
     """
-    first = first_per_key(responses.select("UUID", "Timestamp", "Prediction"), ["UUID"], "Timestamp")
-    first = first.select(
-        "UUID", F.col("Timestamp").alias("__answered"), F.col("Prediction").alias("__prediction")
-    )
-    asked = requests.select("UUID", "Timestamp")
-    in_time = F.col("__answered").between(
-        F.col("Timestamp"), F.col("Timestamp") + F.expr(f"INTERVAL {timeout}")
-    )
-    # The id alone joins, the interval is checked per pair of one request and one response.
-    return (
-        asked.join(first, "UUID", "left")
-        .withColumn("__hit", F.coalesce(in_time, F.lit(False)))
-        .select(
-            "UUID",
-            "Timestamp",
-            F.when(F.col("__hit"), "ANSWERED").otherwise("TIMEOUT").alias("status"),
-            F.when(F.col("__hit"), F.col("__answered")).alias("answered_at"),
-            F.when(F.col("__hit"), F.col("__prediction")).alias("Prediction"),
-        )
+    answers = responses.select("UUID", F.col("Timestamp").alias("answered_at"), "Prediction").alias("r")
+    asked = requests.select("UUID", "Timestamp").alias("q")
+    limit = F.col("q.Timestamp") + F.expr(f"INTERVAL {timeout}")
+    in_time = (F.col("q.UUID") == F.col("r.UUID")) & F.col("r.answered_at").between(F.col("q.Timestamp"), limit)
+    first = F.min(F.when(F.col("r.answered_at").isNotNull(), F.struct("r.answered_at", "r.Prediction"))).alias("first")
+    found = asked.join(answers, in_time, "left").groupBy("q.UUID", "q.Timestamp").agg(first)
+    return found.select(
+        "UUID",
+        "Timestamp",
+        F.when(F.col("first").isNotNull(), "ANSWERED").otherwise("TIMEOUT").alias("status"),
+        F.col("first.answered_at").alias("answered_at"),
+        F.col("first.Prediction").alias("Prediction"),
     )
 
 

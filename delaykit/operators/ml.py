@@ -3,6 +3,7 @@
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import Bucketizer, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,8 +63,9 @@ def train(
     handle_invalid: str = "keep",
     num_trees: int = 20,
     max_depth: int = 5,
+    partitions: int = 64,
 ) -> PipelineModel:
-    """Index, assemble and fit the forest on rows from ``trainable``.
+    """Index, assemble and fit the forest on rows from ``trainable``, dealt over ``partitions``.
 
     Bins must cover the largest category; they follow from the fitted indexes
     (one more for unseen values) unless given.
@@ -82,13 +84,16 @@ def train(
         seed=seed,
     )
     ready = vectors.transform(indexes.transform(labelled)).select(FEATURES, LABEL)
-    return PipelineModel(stages=[indexes, vectors, forest.fit(_spread(ready))])
+    return PipelineModel(stages=[indexes, vectors, forest.fit(_spread(ready, partitions))])
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Use every core for the forest's repeated passes where the input has too few partitions."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def _spread(df: DataFrame, partitions: int) -> DataFrame:
+    """Even partitions that follow from the rows alone.
+
+    The forest draws its samples by partition, so the number must not depend on the machine.
+    """
+    vector = F.xxhash64(F.to_json(F.struct(vector_to_array(FEATURES).alias("f"), F.col(LABEL).alias("l"))))
+    return df.repartition(partitions, vector)
 
 
 def split_holdout(df: DataFrame, holdout: float = 0.2, seed: int = 27) -> tuple[DataFrame, DataFrame]:

@@ -13,6 +13,7 @@ from delaykit.sources.files import read_daily, write_daily
 
 TASKS = "prediction_tasks_daily.json"
 RESULTS = "prediction_results_daily.json"
+REJECTS = "prediction_rejects_daily.json"
 RESULT = StructType(
     [
         *BATCH_REQUEST.fields,
@@ -30,11 +31,12 @@ def fetch_day(spark: SparkSession, iso_date: str, root: str, source: str | None,
 def score_day(spark: SparkSession, iso_date: str, root: str, model: PipelineModel) -> None:
     """Score the day's folder of requests into the day's folder of results.
 
-    Requests that lack a field the model needs cannot be scored; they stay in
-    the request folder and have no result.
+    Requests that lack a field the model needs cannot be scored; they go to the day's folder of rejects, with
+    the reason.
     """
     requests = read_daily(spark, f"{root}/{TASKS}", iso_date, BATCH_REQUEST)
-    scorable, _ = split_scorable(default_request(requests))
+    scorable, rejected = split_scorable(default_request(requests))
+    write_daily(rejected, f"{root}/{REJECTS}", iso_date)
     write_daily(score(model, scorable), f"{root}/{RESULTS}", iso_date)
 
 

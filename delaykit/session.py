@@ -1,9 +1,7 @@
 """Session set-up and the shared working folder."""
 
 import os
-import tempfile
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -71,20 +69,11 @@ def build_session(app_name="delaykit", conf=None, master=None, env=None) -> Spar
     return builder.getOrCreate()
 
 
-@lru_cache(maxsize=None)
-def _local_root(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix="delaykit-")
+#: Below the default file system, where ``spark.checkpoint.dir`` is not set.
+WORK_FOLDER = "/tmp/checkpoints"
 
 
 def new_work_dir(spark: SparkSession) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, which all executors see.
-
-    Only a local session may fall back to a folder of this machine.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    context = spark.sparkContext
-    if not root:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = _local_root(context.applicationId)
-    return f"{root.rstrip('/')}/delaykit/{context.applicationId}/{uuid.uuid4().hex}"
+    """A fresh folder below ``spark.checkpoint.dir``, which all executors must see."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or WORK_FOLDER
+    return f"{root.rstrip('/')}/delaykit/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"

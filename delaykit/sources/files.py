@@ -10,8 +10,6 @@ from delaykit.operators.copies import sort_whole
 from delaykit.schemas import FEATURES
 
 DAY_COLUMN = "iso_date"
-# A single file is written by a single task, so only small results may ask for it.
-SINGLE_FILE_ROWS = 1_000_000
 
 
 def read_flights(spark: SparkSession, path: str) -> DataFrame:
@@ -36,46 +34,21 @@ def describe(df: DataFrame) -> DataFrame:
     )
 
 
-def export_json(
-    df: DataFrame,
-    path: str,
-    single_file: bool = False,
-    order_by=None,
-    compression: str | None = None,
-    single_file_rows: int = SINGLE_FILE_ROWS,
-) -> None:
+def export_json(df: DataFrame, path: str, order_by=None, compression: str | None = None) -> None:
     """Replace a JSON dataset.
 
-    With ``order_by`` the files hold consecutive ranges of the order and keep
-    it when read by file name. ``single_file`` is refused above
-    ``single_file_rows``; such a result belongs in several files.
+    With ``order_by`` the files hold consecutive ranges of the order and keep it when read by file name.
     """
-    writer_rows = df
-    if single_file:
-        if df.count() > single_file_rows:
-            raise ValueError(f"more than {single_file_rows} rows: write several files")
-        writer_rows = df.coalesce(1)
-    if order_by:
-        # One partition is sorted where it lies, else the order is global.
-        writer_rows = (
-            writer_rows.sortWithinPartitions(*order_by) if single_file else sort_whole(df, order_by)
-        )
-    writer = writer_rows.write.mode("overwrite")
+    writer = (sort_whole(df, order_by) if order_by else df).write.mode("overwrite")
     if compression:
         writer = writer.option("compression", compression)
     writer.json(path)
 
 
 def write_daily(df: DataFrame, root: str, iso_date: str) -> None:
-    """Replace one day of a dataset partitioned by day, and no other day."""
+    """Replace one day of a dataset partitioned by day, and no other day; without rows the day becomes empty."""
     day = date.fromisoformat(iso_date[:10]).isoformat()
-    (
-        df.withColumn(DAY_COLUMN, F.lit(day))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DAY_COLUMN)
-        .json(root)
-    )
+    df.write.mode("overwrite").json(f"{root}/{DAY_COLUMN}={day}")
 
 
 def read_daily(spark: SparkSession, root: str, iso_date: str, schema: StructType) -> DataFrame:

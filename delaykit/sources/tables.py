@@ -1,11 +1,13 @@
 """Views, catalog tables and keyed tables."""
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delaykit.operators.latest import latest_per_key
 
-BATCH_COLUMN = "batch_id"
+WRITER_COLUMN, BATCH_COLUMN, WRITTEN_COLUMN = "writer", "batch_id", "written_us"
 
 
 def register(df: DataFrame, name: str) -> DataFrame:
@@ -40,29 +42,36 @@ def publish_table(
             writer = writer.option("path", location)
         if bucket_by:
             buckets, columns = bucket_by
+            # One task for each bucket, else every task writes a file for every bucket.
+            writer = df.repartition(buckets, *columns).write.format(provider).mode("overwrite")
+            writer = writer.option("path", location) if location else writer
             writer = writer.bucketBy(buckets, *columns).sortBy(*columns)
         writer.saveAsTable(table)
     return spark.table(table)
 
 
-def upsert_keyed(df: DataFrame, root: str, batch_id: int | str) -> None:
+def upsert_keyed(df: DataFrame, root: str, batch_id: int | str, writer: str = "batch") -> None:
     """Add a batch to a keyed table kept as files.
 
-    Writes that batch's folder only, whatever the table's size, and replaces
-    it when the batch is repeated. ``read_keyed`` gives the row per key.
+    Writes the folder of that writer's batch only, whatever the table's size, and replaces it when the batch
+    is repeated, empty or not. Writers that count their batches on their own, such as streams with different
+    checkpoints, need different names. ``read_keyed`` gives the row per key.
     """
-    (
-        df.withColumn(BATCH_COLUMN, F.lit(str(batch_id)))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH_COLUMN)
-        .parquet(root)
+    written = F.lit(time.time_ns() // 1000)
+    df.withColumn(WRITTEN_COLUMN, written).write.mode("overwrite").parquet(
+        f"{root}/{WRITER_COLUMN}={writer}/{BATCH_COLUMN}={batch_id}"
     )
 
 
+def stream_writer(df: DataFrame) -> str:
+    """Name of the stream that runs this micro-batch: its id, which stays the same as long as its checkpoint."""
+    return df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+
+
 def read_keyed(spark: SparkSession, root: str, keys: list[str], order_col: str) -> DataFrame:
-    """Current state: the latest row per key over all batches."""
-    return latest_per_key(spark.read.parquet(root).drop(BATCH_COLUMN), keys, order_col)
+    """Current state: the latest row per key over all batches; of equally late ones the last written."""
+    rows = spark.read.parquet(root).drop(WRITER_COLUMN, BATCH_COLUMN)
+    return latest_per_key(rows, keys, order_col, WRITTEN_COLUMN).drop(WRITTEN_COLUMN)
 
 
 def compact_keyed(spark: SparkSession, root: str, new_root: str, keys: list[str], order_col: str) -> None:

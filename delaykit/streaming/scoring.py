@@ -13,7 +13,7 @@ from delaykit.operators.projections import to_api
 from delaykit.operators.requests import default_request, parse_requests
 from delaykit.plans.requests import respond
 from delaykit.schemas import STREAM_REQUEST
-from delaykit.sources.tables import upsert_keyed
+from delaykit.sources.tables import append_store, merge_keyed, stream_writer, upsert_keyed
 from delaykit.sources.topics import RESPONSE_TOPIC, publish_json
 
 Sink = Callable[[DataFrame, int], None]
@@ -27,7 +27,7 @@ def request_stream(messages: DataFrame, schema: StructType = STREAM_REQUEST) ->
 
 def keyed_table_sink(root: str) -> Sink:
     """Responses into a keyed table of files; a repeated batch replaces itself."""
-    return lambda responses, batch_id: upsert_keyed(responses, root, batch_id)
+    return lambda responses, batch_id: upsert_keyed(responses, root, batch_id, stream_writer(responses))
 
 
 def response_topic_sink(topic: str = RESPONSE_TOPIC, fmt: str = "kafka", options: dict | None = None) -> Sink:
@@ -42,14 +42,26 @@ def response_topic_sink(topic: str = RESPONSE_TOPIC, fmt: str = "kafka", options
         if fmt == "kafka":
             publish_json(messages, topic, "UUID", fmt, options)
         else:
-            publish_json(messages, f"{topic}/batch_id={batch_id}", "UUID", fmt, options, mode="overwrite")
+            publish_json(messages, f"{topic}/writer={stream_writer(responses)}/batch_id={batch_id}", "UUID", fmt, options, mode="overwrite")
 
     return write
 
 
 def reject_sink(root: str) -> Sink:
     """Messages that cannot be scored, with the reason."""
-    return lambda rejected, batch_id: upsert_keyed(rejected.select("raw", "UUID", "error"), root, batch_id)
+    return lambda rejected, batch_id: upsert_keyed(
+        rejected.select("raw", "UUID", "error"), root, batch_id, stream_writer(rejected)
+    )
+
+
+def store_sink(table: str, keyspace: str, **options) -> Sink:
+    """Responses appended to a key-value store, where a repeated key replaces its row."""
+    return lambda responses, batch_id: append_store(responses, table, keyspace, **options)
+
+
+def merge_sink(table: str, keys: list[str], order_col: str) -> Sink:
+    """Responses merged into a catalog table that supports MERGE."""
+    return lambda responses, batch_id: merge_keyed(responses, table, keys, order_col)
 
 
 def process_batch(
@@ -65,7 +77,8 @@ def process_batch(
     try:
         if batch.isEmpty():
             return
-        valid, rejected = split_scorable(default_request(batch))
+        # Without an id nobody could be answered, and stored answers would fall together.
+        valid, rejected = split_scorable(default_request(batch), ["UUID"])
         responses = respond(get_model(), valid).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             # Table before topic: a client that sees the message finds the row.
@@ -102,10 +115,13 @@ def start_scoring(
     )
 
 
-def console_tap(requests: DataFrame, interval: str = MICRO_BATCH, trigger: dict | None = None) -> StreamingQuery:
-    """Print decoded messages every ``interval``."""
+def console_tap(
+    requests: DataFrame, interval: str = MICRO_BATCH, trigger: dict | None = None, checkpoint: str | None = None
+) -> StreamingQuery:
+    """Print decoded messages every ``interval``; ``checkpoint`` is a folder all nodes share."""
+    writer = requests.writeStream.outputMode("append")
     return (
-        requests.writeStream.outputMode("append")
+        (writer.option("checkpointLocation", checkpoint) if checkpoint else writer)
         .format("console")
         .option("truncate", "false")
         .trigger(**(trigger or {"processingTime": interval}))

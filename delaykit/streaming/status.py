@@ -23,7 +23,8 @@ def await_response_stream(
             F.col("Timestamp").alias("answered_at"),
             "Prediction",
         )
-        .withWatermark("answered_at", delay)
+        # An id is remembered for as long as its request may wait.
+        .withWatermark("answered_at", f"{timeout} {delay}")
         .dropDuplicatesWithinWatermark(["__uuid"])
     )
     limit = F.expr(f"Timestamp + INTERVAL {timeout}")

@@ -24,10 +24,10 @@ def test_conform_casts_adds_and_drops(spark, rows):
 
 def test_storage_and_api_names_are_inverse(spark):
     schema = "UUID string, Origin string, Dest string, Carrier string, Route string, FlightDate string, DayOfWeek int, DayOfYear int, DayOfMonth int, DepDelay double, Distance double, Prediction double, Timestamp string"
-    row = ("u", "ATL", "SFO", "AA", "ATL-SFO", "2016-12-25", 7, 360, 25, 5.0, 2139.0, 2.0, "2026-05-06T08:40:00")
+    row = ("u", "BER", "OSL", "ZX", "BER-OSL", "2019-07-14", 7, 195, 14, 5.0, 911.0, 2.0, "2019-07-13T21:15:00")
     stored = projections.to_storage(spark.createDataFrame([row], schema))
-    assert stored.first()["flight_date"] == date(2016, 12, 25)
-    assert stored.first()["timestamp"] == datetime(2026, 5, 6, 8, 40)
+    assert stored.first()["flight_date"] == date(2019, 7, 14)
+    assert stored.first()["timestamp"] == datetime(2019, 7, 13, 21, 15)
     assert projections.to_api(stored).columns == [f.split()[0] for f in schema.split(", ")]
 
 
@@ -293,3 +293,11 @@ def test_find_one_and_preview(spark):
     assert ordering.find_one(df, {"n": 2}).first().k == "a"
     assert ordering.find_one(df, {"n": 2}, [F.col("k").desc()]).first().k == "b"
     assert ordering.preview(df, 2).count() == 2
+
+
+def test_an_answer_before_the_request_does_not_hide_a_later_one(spark):
+    at = lambda s: datetime(2024, 1, 1, 0, 0, s)
+    asked = spark.createDataFrame([("a", at(10)), ("b", at(10))], "UUID string, Timestamp timestamp_ntz")
+    answered = spark.createDataFrame([("a", at(5), 1.0), ("a", at(15), 2.0), ("b", at(5), 3.0)], "UUID string, Timestamp timestamp_ntz, Prediction double")
+    out = {r.UUID: (r.status, r.Prediction) for r in lookups.await_responses(asked, answered).collect()}
+    assert out == {"a": ("ANSWERED", 2.0), "b": ("TIMEOUT", None)}

@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from delaykit.catalogue.queries import ORACLES, QUERIES
 from tests.compare import connect, differences
 from tests.conftest import SMALL
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+# The text queries have tests of their own.
+assert set(QUERIES) <= set(entry.queries()) and ORACLES.items() <= entry.oracle_sql().items()
 # Results of a model or a sample, which SQL cannot state.
 ROWS_ONLY = {"sampled_flights", "hash_sampled_requests", "forest_accuracy", "forest_distribution", "forest_predictions"}
 
