@@ -19,10 +19,10 @@ from delaykit.operators import aggregates, filters, lookups, ml, ordering, proje
 from delaykit.operators import requests as request_ops
 from delaykit.operators.latest import merge_latest
 from delaykit.plans import daily
-from delaykit.plans.features import derive_features, extract_features
+from delaykit.plans.features import derive_features, distance_job, extract_features
 from delaykit.plans.requests import prepare_requests, score
 from delaykit.plans.training import train_job
-from delaykit.schemas import FEATURES, STREAM_REQUEST
+from delaykit.schemas import BATCH_REQUEST, FEATURES, STREAM_REQUEST
 from delaykit.session import new_work_dir
 from delaykit.sources import distances as distance_source
 from delaykit.sources import files, models, tables, topics
@@ -106,10 +106,8 @@ def sql_text_view(spark, sf_dir):
     WHERE ts >= TIMESTAMP '2024-01-15' AND ts <= TIMESTAMP '2024-01-16'"""
 )
 def day_requests_scan(spark, sf_dir):
-    stored = f"{new_work_dir(spark)}/requests"
-    V.table(spark, sf_dir, "events").withColumnRenamed("ts", "Timestamp").write.parquet(stored)
-    found = read_requests(spark, stored, "2024-01-15", fmt="parquet")
-    return found.select("event_id", "event_type", "Timestamp")
+    found = read_requests(spark, f"{sf_dir}/events.parquet", "2024-01-15", fmt="parquet", column="ts")
+    return found.select("event_id", "event_type", F.col("ts").alias("Timestamp"))
 
 
 @query(
@@ -124,7 +122,7 @@ def json_feature_file(spark, sf_dir):
     selected = filters.drop_unlabelled(projections.select_features(V.flights(spark, sf_dir)))
     # The file holds the UTC wall clock whatever the session time zone.
     features = derive_features(selected, ntz=True).withColumn("CRSDepTime", F.col("CRSDepTime").cast("string"))
-    files.export_json(features, path, compression="gzip")
+    files.export_json(features, path, compression="bzip2")
     wall_clock = StructType(
         [StructField(f.name, f.dataType) for f in FEATURES.fields if f.name not in ("CRSDepTime", "CRSArrTime")]
     ).add("CRSDepTime", "string")
@@ -148,11 +146,11 @@ def json_inferred_file(spark, sf_dir):
     return profile.select("n", F.array_join("columns", ",").alias("columns"))
 
 
-@query('SELECT "Origin", "Dest", "Distance" FROM distances', V.FLIGHTS_SQL, V.DISTANCES_SQL)
+@query('SELECT "Origin", "Dest", avg("Distance") AS "Distance" FROM flights GROUP BY 1, 2', *FLIGHTS)
 def loaded_distances(spark, sf_dir):
     """Distances from files with two spellings of the field names."""
     path = f"{new_work_dir(spark)}/distances"
-    known = V.distances(spark, sf_dir)
+    known = aggregates.route_distances(V.flights(spark, sf_dir), None)
     lower = known.filter(F.col("Origin") < F.col("Dest"))
     lower = lower.select([F.col(c).alias(c.lower()) for c in known.columns])
     topics.publish_json(known.filter(F.col("Origin") >= F.col("Dest")), path, fmt="text")
@@ -337,8 +335,34 @@ STORAGE_SQL = f"""SELECT "UUID" AS uuid, "Origin" AS origin, "Dest" AS dest, "Ca
 FROM requests LEFT JOIN distances d USING ("Origin", "Dest") WHERE {VALID}"""
 
 
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def _once(spark, sf_dir, name: str, make: Callable[[str], None]) -> str:
+    """Folder that ``make`` fills, once per application and data set."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        folder = new_work_dir(spark)
+        make(folder)
+        _STORED[key] = folder
+    return _STORED[key]
+
+
+def _distances(spark, sf_dir) -> DataFrame:
+    """The keyed table of the distances job, without one origin, so that defaults are used."""
+    known = V.flights(spark, sf_dir).filter(F.col("Origin") != "NATION_3")
+    folder = _once(spark, sf_dir, "distances", lambda f: distance_job(spark, known, f"{f}/json", f"{f}/table"))
+    return tables.read_keyed(spark, f"{folder}/table", ["Origin", "Dest"])
+
+
+def _labelled(spark, sf_dir) -> DataFrame:
+    """Labelled features, stored because indexes and vectors both read them."""
+    make = lambda f: ml.trainable(extract_features(V.flights(spark, sf_dir))).write.parquet(f"{f}/labelled")
+    return spark.read.parquet(f"{_once(spark, sf_dir, 'labelled', make)}/labelled")
+
+
 def _prepared(spark, sf_dir) -> DataFrame:
-    scorable, _ = prepare_requests(V.requests(spark, sf_dir), V.distances(spark, sf_dir))
+    scorable, _ = prepare_requests(V.requests(spark, sf_dir), _distances(spark, sf_dir))
     return scorable
 
 
@@ -365,21 +389,26 @@ def api_names(spark, sf_dir):
 )
 def stripped_columns(spark, sf_dir):
     """Vectors and indexes are dropped again and leave the rows as they were."""
-    labelled = ml.trainable(extract_features(V.flights(spark, sf_dir)))
+    labelled = _labelled(spark, sf_dir)
     vectors = ml.assembler().transform(ml.index_categories(labelled).transform(labelled))
     kept = projections.strip_ml_columns(vectors)
     extra = [c for c in kept.columns if c not in labelled.columns]
     return kept.groupBy("Carrier", "Origin", "Dest", "ArrDelayBucket", *extra).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _label_sql(scheme: str) -> str:
-    cases = " ".join(f"WHEN {k} THEN '{v}'" for k, v in DF.LABEL_SCHEMES[scheme].items())
-    unknown = "UNKNOWN" if scheme == "board" else "Unknown"
-    return f"CASE CAST(\"Prediction\" AS INTEGER) {cases} ELSE '{unknown}' END"
-
-
 @query(
-    "SELECT \"UUID\", " + ", ".join(f"{_label_sql(s)} AS label_{s}" for s in DF.LABEL_SCHEMES) + " FROM responses",
+    """SELECT "UUID",
+      CASE "Prediction" WHEN 0 THEN 'Early (15+ Minutes Early)' WHEN 1 THEN 'Slightly Early (0-15 Minute Early)'
+        WHEN 2 THEN 'Slightly Late (0-30 Minute Delay)' WHEN 3 THEN 'Very Late (30+ Minutes Late)'
+        ELSE 'Unknown' END AS label_splits,
+      CASE "Prediction" WHEN 0 THEN 'Early / No Delay' WHEN 1 THEN 'On Time'
+        WHEN 2 THEN 'Slightly Late (0-30 Minute Delay)' WHEN 3 THEN 'Very Late (+30 Minute Delay)'
+        ELSE 'Unknown' END AS label_live,
+      CASE "Prediction" WHEN 0 THEN 'EARLY' WHEN 1 THEN 'ON TIME' WHEN 2 THEN 'SLIGHT DELAY'
+        WHEN 3 THEN 'VERY LATE' ELSE 'UNKNOWN' END AS label_board,
+      CASE "Prediction" WHEN 0 THEN 'On Time (0-15 Minute Delay)' WHEN 1 THEN 'Slightly Late (15-60 Minute Delay)'
+        WHEN 2 THEN 'Very Late (60+ Minute Delay)' ELSE 'Unknown' END AS label_batch
+    FROM responses""",
     V.RESPONSES_SQL,
 )
 def delay_labels(spark, sf_dir):
@@ -501,7 +530,7 @@ def flight_search(spark, sf_dir):
     *ROUTED,
 )
 def request_distances(spark, sf_dir):
-    found = lookups.with_distance(V.requests(spark, sf_dir), V.distances(spark, sf_dir))
+    found = lookups.with_distance(V.requests(spark, sf_dir), _distances(spark, sf_dir))
     return found.select("UUID", "Origin", "Dest", "Distance")
 
 
@@ -540,18 +569,16 @@ def awaited_responses(spark, sf_dir):
 
 
 @query(
-    """SELECT f."Carrier", f."FleetCount", a."CarrierCode", a."Name"
-    FROM (SELECT "Carrier", count(DISTINCT "TailNum") AS "FleetCount" FROM flights GROUP BY 1) f
+    """SELECT f."Carrier", f."TailNum", count(*) OVER (PARTITION BY f."Carrier") AS "FleetCount",
+      a."CarrierCode", a."Name"
+    FROM (SELECT DISTINCT "Carrier", "TailNum" FROM flights) f
     LEFT JOIN airlines a ON f."Carrier" = a."CarrierCode" """,
     V.FLIGHTS_SQL,
     V.AIRLINES_SQL,
 )
 def carrier_profiles(spark, sf_dir):
     fleets = aggregates.airplanes_per_carrier(V.flights(spark, sf_dir))
-    profiles = lookups.carrier_profile(V.airlines(spark, sf_dir), fleets)
-    # A carrier's first part stands for the carrier, whose total every part has.
-    profiles = profiles.groupBy("Carrier", "FleetCount", "CarrierCode", "Name").agg(F.min("Part"))
-    return profiles.select("Carrier", "FleetCount", "CarrierCode", "Name")
+    return lookups.carrier_profile(V.airlines(spark, sf_dir), fleets)
 
 
 @query(
@@ -617,28 +644,24 @@ def flights_by_month(spark, sf_dir):
     return aggregates.flights_by_month(V.flights(spark, sf_dir))
 
 
-@query(
-    """SELECT "TailNum", count(*) AS "FlightCount", CAST(0 AS INTEGER) AS "Part",
-      string_agg("Carrier" || '|' || "FlightDate" || '|' || "FlightNum" || '|' || "Origin" || '|' || "Dest", ';'
-        ORDER BY "Carrier", "FlightDate", "FlightNum", "Origin", "Dest") AS flights
-    FROM flights GROUP BY 1""",
-    *FLIGHTS,
-)
+@query('SELECT "TailNum", "Carrier", "FlightDate", "FlightNum", "Origin", "Dest" FROM flights', *FLIGHTS)
 def flights_per_airplane(spark, sf_dir):
-    nested = aggregates.flights_per_airplane(V.flights(spark, sf_dir))
-    line = F.transform("Flights", lambda f: F.concat_ws("|", f.Carrier, f.FlightDate, f.FlightNum, f.Origin, f.Dest))
-    return nested.select("TailNum", "FlightCount", "Part", F.array_join(line, ";").alias("flights"))
+    return aggregates.flights_per_airplane(V.flights(spark, sf_dir))
 
 
-@query(
-    """SELECT "Carrier", CAST(0 AS INTEGER) AS "Part", count(*) AS "FleetCount",
-      string_agg("TailNum", ',' ORDER BY "TailNum") AS tail_numbers
-    FROM (SELECT DISTINCT "Carrier", "TailNum" FROM flights) GROUP BY 1""",
-    *FLIGHTS,
-)
+@query('SELECT "TailNum", count(*) AS "FlightCount" FROM flights GROUP BY 1', *FLIGHTS)
+def airplane_totals(spark, sf_dir):
+    return aggregates.airplane_totals(V.flights(spark, sf_dir))
+
+
+@query('SELECT DISTINCT "Carrier", "TailNum" FROM flights', *FLIGHTS)
 def airplanes_per_carrier(spark, sf_dir):
-    fleets = aggregates.airplanes_per_carrier(V.flights(spark, sf_dir))
-    return fleets.select("Carrier", "Part", "FleetCount", F.array_join("TailNumbers", ",").alias("tail_numbers"))
+    return aggregates.airplanes_per_carrier(V.flights(spark, sf_dir))
+
+
+@query('SELECT "Carrier", count(DISTINCT "TailNum") AS "FleetCount" FROM flights GROUP BY 1', *FLIGHTS)
+def fleet_totals(spark, sf_dir):
+    return aggregates.fleet_totals(aggregates.airplanes_per_carrier(V.flights(spark, sf_dir)))
 
 
 @query('SELECT "Manufacturer", count(*) AS "Total" FROM airplanes GROUP BY 1', V.AIRPLANES_SQL)
@@ -743,6 +766,36 @@ def hash_sampled_requests(spark, sf_dir):
     return ordering.sample_rows(V.requests(spark, sf_dir), 0.1, 27, key="UUID")
 
 
+SAMPLED_SQL = """SELECT count(*) AS n, CAST(0 AS BIGINT) AS strangers, CAST(0 AS BIGINT) AS repeats,
+  true AS within_bounds FROM events"""
+
+
+def _sample_facts(asked: DataFrame, sample: DataFrame) -> DataFrame:
+    taken = sample.groupBy("UUID").agg(F.count(F.lit(1)).alias("times"))
+    both = asked.select("UUID", F.lit(1).alias("asked")).join(taken, "UUID", "full")
+    known, share = F.count("asked"), F.count("times")
+    # Six standard deviations around a tenth.
+    off = F.abs(share - 0.1 * known) <= 6 * F.sqrt(0.09 * known)
+    return both.agg(
+        known.alias("n"),
+        F.count_if(F.col("asked").isNull()).alias("strangers"),
+        F.count_if(F.col("times") > 1).alias("repeats"),
+        off.alias("within_bounds"),
+    )
+
+
+@query(SAMPLED_SQL)
+def sample_facts(spark, sf_dir):
+    """A sample by position has rows of the table only, none of them twice, and about the share asked for."""
+    asked = V.requests(spark, sf_dir)
+    return _sample_facts(asked, ordering.sample_rows(asked, 0.1, 27))
+
+
+@query(SAMPLED_SQL)
+def hash_sample_facts(spark, sf_dir):
+    return _sample_facts(V.requests(spark, sf_dir), hash_sampled_requests(spark, sf_dir))
+
+
 @query('SELECT * FROM requests ORDER BY "UUID" LIMIT 20', *REQUESTS)
 def request_preview(spark, sf_dir):
     return ordering.preview(V.requests(spark, sf_dir), 20, ["UUID"])
@@ -776,7 +829,7 @@ def delay_buckets(spark, sf_dir):
 
 @query("SELECT column_name, value, idx FROM indexes", V.FLIGHTS_SQL, LABELLED_SQL, INDEXES_SQL)
 def category_indexes(spark, sf_dir):
-    labelled = ml.trainable(extract_features(V.flights(spark, sf_dir)))
+    labelled = _labelled(spark, sf_dir)
     indexed = ml.index_categories(labelled).transform(labelled)
     pairs = F.array(
         *[
@@ -802,7 +855,7 @@ def category_indexes(spark, sf_dir):
     INDEXES_SQL,
 )
 def feature_vectors(spark, sf_dir):
-    labelled = ml.trainable(extract_features(V.flights(spark, sf_dir)))
+    labelled = _labelled(spark, sf_dir)
     vectors = ml.assembler().transform(ml.index_categories(labelled).transform(labelled))
     values = vectors.select(vector_to_array("Features_vec").alias("v"), "ArrDelayBucket")
     return values.select(*[F.col("v")[i].alias(f"f{i}") for i in range(9)], F.col("ArrDelayBucket").alias("label"))
@@ -839,6 +892,44 @@ def forest_predictions(spark, sf_dir):
     return score(model, _prepared(spark, sf_dir)).select("UUID", "Route", "DepDelay", "Prediction")
 
 
+@query(
+    f"""SELECT "UUID", "Origin" || '-' || "Dest" AS "Route", coalesce("DepDelay", 0.0) AS "DepDelay",
+      true AS known_class FROM requests WHERE {VALID}""",
+    *REQUESTS,
+)
+def forest_classes(spark, sf_dir):
+    """Every valid request gets one of the four classes."""
+    known = F.coalesce(F.col("Prediction").isin(0.0, 1.0, 2.0, 3.0), F.lit(False))
+    return forest_predictions(spark, sf_dir).select("UUID", "Route", "DepDelay", known.alias("known_class"))
+
+
+@query(
+    """SELECT count(*) AS labelled, true AS beats_largest_class FROM flights
+    WHERE "ArrDelay" IS NOT NULL AND "DepDelay" IS NOT NULL""",
+    *FLIGHTS,
+)
+def forest_report(spark, sf_dir):
+    """Training and held-out rows are all labelled rows; the forest does better than the most frequent class."""
+    accuracy = forest_accuracy(spark, sf_dir).agg(F.sum("n").alias("labelled"), F.min("accuracy").alias("least"))
+    classes = _labelled(spark, sf_dir).groupBy("ArrDelayBucket").agg(F.count(F.lit(1)).alias("n"))
+    largest = classes.agg((F.max("n") / F.sum("n")).alias("share")).withColumn("one", F.lit(1))
+    both = accuracy.withColumn("one", F.lit(1)).join(largest, "one")
+    return both.select("labelled", (F.col("least") > F.col("share")).alias("beats_largest_class"))
+
+
+@query(f"SELECT count(*) AS n, CAST(0 AS BIGINT) AS otherwise FROM requests WHERE {VALID}", *REQUESTS)
+def saved_model(spark, sf_dir):
+    """Requests scored by the model and by what is loaded after saving it once more."""
+    model, _ = _forest(spark, sf_dir)
+    path = f"{new_work_dir(spark)}/model"
+    models.save_model(model, path)
+    asked = _prepared(spark, sf_dir)
+    first = score(model, asked).select("UUID", "Prediction")
+    second = score(models.load_model(path), asked).select("UUID", F.col("Prediction").alias("again"))
+    same = F.col("Prediction").eqNullSafe(F.col("again"))
+    return first.join(second, "UUID").agg(F.count(F.lit(1)).alias("n"), F.count_if(~same).alias("otherwise"))
+
+
 @query(
     f"""SELECT "Carrier", "Origin", "Dest", "Origin" || '-' || "Dest" AS "Route",
       CAST("FlightDate" AS DATE) AS "FlightDate", coalesce("DepDelay", 0.0) AS "DepDelay",
@@ -860,13 +951,31 @@ def daily_scoring(spark, sf_dir):
     return loaded.select("Carrier", "Origin", "Dest", "Route", "FlightDate", "DepDelay", "Distance", "Prediction")
 
 
+@query(
+    f"""SELECT "Origin", "Dest", "FlightNum", {ERROR} AS error
+    FROM (SELECT * REPLACE (coalesce("FlightNum", '0') AS "FlightNum") FROM requests) WHERE NOT ({VALID})
+      AND "Timestamp" >= TIMESTAMP '2024-01-12' AND "Timestamp" <= TIMESTAMP '2024-01-13'""",
+    *REQUESTS,
+)
+def daily_rejects(spark, sf_dir):
+    """Requests of a day that cannot be scored, with the reason."""
+    root, day = new_work_dir(spark), "2024-01-12"
+    asked = request_ops.with_date_parts(lookups.with_distance(V.requests(spark, sf_dir), _distances(spark, sf_dir)))
+    asked.write.parquet(f"{root}/requests")
+    daily.fetch_day(spark, day, root, f"{root}/requests", fmt="parquet")
+    daily.score_day(spark, day, root, rule_model())
+    kept = StructType([*BATCH_REQUEST.fields]).add("error", "string")
+    rejected = files.read_daily(spark, f"{root}/{daily.REJECTS}", day, kept)
+    return rejected.select("Origin", "Dest", "FlightNum", "error")
+
+
 # --- streams ----------------------------------------------------------------
 
 
 def _messages(spark, sf_dir, folder: str) -> DataFrame:
     """Stream over all requests, valid or not, as JSON messages."""
     asked = V.requests(spark, sf_dir).withColumn("Timestamp", F.col("Timestamp").cast("string"))
-    enriched = request_ops.with_date_parts(lookups.with_distance(asked, V.distances(spark, sf_dir)))
+    enriched = request_ops.with_date_parts(lookups.with_distance(asked, _distances(spark, sf_dir)))
     topics.publish_json(enriched, f"{folder}/requests", fmt="text")
     return topics.read_request_stream(spark, fmt="text", path=f"{folder}/requests")
 
@@ -893,18 +1002,22 @@ def stream_requests(spark, sf_dir):
     )
 
 
-def _scored_stream(spark, sf_dir) -> str:
-    folder = new_work_dir(spark)
+def _run_scoring(requests: DataFrame, folder: str, checkpoint: str) -> None:
     model = rule_model()
     scoring.start_scoring(
-        scoring.request_stream(_messages(spark, sf_dir, folder)),
+        requests,
         lambda: model,
         scoring.keyed_table_sink(f"{folder}/table"),
         scoring.response_topic_sink(f"{folder}/topic", fmt="json"),
-        f"{folder}/checkpoint",
+        f"{folder}/{checkpoint}",
         scoring.reject_sink(f"{folder}/rejected"),
         {"availableNow": True},
     ).awaitTermination()
+
+
+def _scored_stream(spark, sf_dir) -> str:
+    folder = new_work_dir(spark)
+    _run_scoring(scoring.request_stream(_messages(spark, sf_dir, folder)), folder, "checkpoint")
     return folder
 
 
@@ -916,6 +1029,37 @@ def stream_scoring(spark, sf_dir):
     return tables.read_keyed(spark, f"{folder}/table", ["uuid"], "timestamp").drop("timestamp")
 
 
+STATE_SQL = STORAGE_SQL.replace(""",
+  "Timestamp" AS "timestamp\"""", "")
+
+
+@query(STATE_SQL, *ROUTED)
+def stream_restart(spark, sf_dir):
+    """State after two halves on one checkpoint and then all messages again on a new one."""
+    folder = new_work_dir(spark)
+    asked = V.requests(spark, sf_dir).withColumn("Timestamp", F.col("Timestamp").cast("string"))
+    enriched = request_ops.with_date_parts(lookups.with_distance(asked, _distances(spark, sf_dir)))
+    half = F.expr("substring(UUID, 5)").cast("bigint") % 2
+    for part, checkpoint in ((0, "first"), (1, "first"), (None, "second")):
+        if part is not None:
+            topics.publish_json(enriched.filter(half == part), f"{folder}/requests", fmt="text")
+        messages = topics.read_request_stream(spark, fmt="text", path=f"{folder}/requests")
+        _run_scoring(scoring.request_stream(messages), folder, checkpoint)
+    return tables.read_keyed(spark, f"{folder}/table", ["uuid"], "timestamp").drop("timestamp")
+
+
+@query(STATE_SQL, *ROUTED)
+def stream_empty_batch(spark, sf_dir):
+    """A micro-batch without rows leaves the state as it was."""
+    folder = _scored_stream(spark, sf_dir)
+    empty = request_ops.parse_requests(spark.read.text(f"{folder}/requests").limit(0), STREAM_REQUEST, keep_raw=True)
+    model = rule_model()
+    scoring.process_batch(
+        empty, 0, lambda: model, scoring.keyed_table_sink(f"{folder}/table"), scoring.response_topic_sink(f"{folder}/topic", fmt="json")
+    )
+    return tables.read_keyed(spark, f"{folder}/table", ["uuid"], "timestamp").drop("timestamp")
+
+
 @query(
     f"""SELECT uuid AS "UUID", route AS "Route", prediction AS "Prediction" FROM ({STORAGE_SQL})""", *ROUTED
 )

@@ -132,12 +132,6 @@ def stored_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def distances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Average distance per route, without one origin, so that defaults are used."""
-    known = flights(spark, sf_dir).filter(F.col("Origin") != "NATION_3")
-    return known.groupBy("Origin", "Dest").agg(F.avg("Distance").alias("Distance"))
-
-
 # The same views as SQL.
 
 FLIGHTS_SQL = """

@@ -3,10 +3,9 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaykit.operators.copies import bounded_lists
+from delaykit.operators.copies import sort_whole
 
-# Items per nested list; a larger group continues in further parts.
-MAX_LIST = 100_000
+AIRPLANE_FLIGHT = ["TailNum", "Carrier", "FlightDate", "FlightNum", "Origin", "Dest"]
 
 
 def route_distances(flights: DataFrame, order: str | None = "asc") -> DataFrame:
@@ -47,16 +46,26 @@ def flights_by_month(flights: DataFrame) -> DataFrame:
     )
 
 
-def flights_per_airplane(flights: DataFrame, max_list: int = MAX_LIST) -> DataFrame:
-    """TailNum, its sorted ``Flights`` and their number, see ``bounded_lists``."""
-    fields = ["Carrier", "FlightDate", "FlightNum", "Origin", "Dest"]
-    return bounded_lists(flights, ["TailNum"], fields, "Flights", "FlightCount", max_list)
+def flights_per_airplane(flights: DataFrame) -> DataFrame:
+    """One row per flight, sorted by airplane; the page of an airplane is a filter on ``TailNum``.
+
+    Sorted files let that filter skip all but a few of them, and an airplane may have any number of flights.
+    """
+    return sort_whole(flights.select(AIRPLANE_FLIGHT), AIRPLANE_FLIGHT)
+
+
+def airplane_totals(flights: DataFrame) -> DataFrame:
+    return flights.groupBy("TailNum").agg(F.count(F.lit(1)).alias("FlightCount"))
+
+
+def airplanes_per_carrier(flights: DataFrame) -> DataFrame:
+    """One row per carrier and airplane; the fleet of a carrier is a filter on ``Carrier``."""
+    return flights.filter(F.col("TailNum").isNotNull()).select("Carrier", "TailNum").distinct()
 
 
-def airplanes_per_carrier(flights: DataFrame, max_list: int = MAX_LIST) -> DataFrame:
-    """Carrier, its distinct ``TailNumbers`` and ``FleetCount``, see ``bounded_lists``."""
-    known = flights.filter(F.col("TailNum").isNotNull())
-    return bounded_lists(known, ["Carrier"], ["TailNum"], "TailNumbers", "FleetCount", max_list, distinct=True)
+def fleet_totals(fleets: DataFrame) -> DataFrame:
+    """Airplanes per carrier, from rows of ``airplanes_per_carrier``."""
+    return fleets.groupBy("Carrier").agg(F.count(F.lit(1)).alias("FleetCount"))
 
 
 def manufacturer_totals(airplanes: DataFrame) -> DataFrame:

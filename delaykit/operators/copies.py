@@ -1,34 +1,16 @@
 """Keep hot keys and exact copies out of single tasks.
 
 Spark combines aggregates before the shuffle, and adaptive execution splits the
-hot partitions of a join. Two shapes remain where one group could still land in
-one task, and are handled here: a global sort over many exact copies of a row,
-and nested lists of a hot key.
+hot partitions of a join. One shape remains where one group could still land in
+one task, and is handled here: a global sort over many exact copies of a row.
 """
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-COPIES = "__copies"
-PIECE = "__piece"
 TASK = "__task"
 
 
-def fold_copies(df: DataFrame, max_copies: int) -> DataFrame:
-    """Distinct rows with a count, at most ``max_copies`` per output row.
-
-    Copies are combined before the shuffle; a row with more copies than the
-    limit is spread over numbered pieces, so nothing is lost.
-    """
-    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
-    last = F.expr(f"(__n - 1) div {int(max_copies)}")
-    return (
-        counted.withColumn(PIECE, F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-        .withColumn(COPIES, F.least(F.lit(max_copies).cast("bigint"), F.col("__n") - F.col(PIECE) * max_copies))
-        .drop("__n")
-    )
-
-
 def sort_whole(df: DataFrame, order) -> DataFrame:
     """Global sort whose range partitions stay even.
 
@@ -40,38 +22,3 @@ def sort_whole(df: DataFrame, order) -> DataFrame:
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     ties = [F.col(c) for c in df.columns]
     return df.withColumn(TASK, F.spark_partition_id()).orderBy(*order, *ties, TASK).drop(TASK)
-
-
-def bounded_lists(
-    df: DataFrame,
-    keys: list[str],
-    item: list[str],
-    out: str,
-    total: str,
-    max_items: int,
-    distinct: bool = False,
-) -> DataFrame:
-    """Items per key as sorted lists of about ``max_items``, and their ``total``.
-
-    A key that fits has one row with ``Part`` 0. A larger key has several rows,
-    numbered by ``Part`` and built by different tasks, that together hold every
-    item; ``total`` is that of the whole key. ``item`` of one column gives a
-    plain array, of several an array of structs. ``distinct`` drops copies.
-    """
-    # Pieces well below the limit, so that the parts of a hot row even out.
-    rows = fold_copies(df.select(*keys, *item), max(1, max_items // 16))
-    if distinct:
-        rows = rows.filter(F.col(PIECE) == 0).withColumn(COPIES, F.lit(1).cast("bigint"))
-    sizes = rows.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.sum(COPIES).alias(total))
-    same_key = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
-    parts = F.ceil(F.col(total) / F.lit(max_items))
-    # The list of a hot key is spread over its parts, hence both in the shuffle key.
-    placed = (
-        rows.join(sizes, same_key, "inner")
-        .withColumn("Part", F.pmod(F.xxhash64(*item, PIECE), parts).cast("int"))
-        .repartition(*keys, "Part")
-    )
-    entry = F.col(item[0]) if len(item) == 1 else F.struct(*item)
-    copies = F.array_repeat(entry, F.col(COPIES).cast("int"))
-    items = F.sort_array(F.flatten(F.collect_list(copies))).alias(out)
-    return placed.groupBy(*keys, "Part").agg(items, F.first(total).alias(total))

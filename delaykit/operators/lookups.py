@@ -10,6 +10,7 @@ The right side has one row per key, so no key multiplies rows.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from delaykit.operators.aggregates import fleet_totals
 from delaykit.operators.latest import first_per_key, latest_per_key
 
 WAIT_LIMIT = "120 seconds"
@@ -60,8 +61,9 @@ def await_responses(requests: DataFrame, responses: DataFrame, timeout: str = WA
 
 
 def carrier_profile(airlines: DataFrame, fleets: DataFrame) -> DataFrame:
-    """Fleet rows with the carrier's summary, which may be missing."""
-    return fleets.join(airlines, fleets["Carrier"] == airlines["CarrierCode"], "left")
+    """Rows of a fleet with its size and the carrier's summary, which may be missing."""
+    summary = fleet_totals(fleets).join(airlines, F.col("Carrier") == F.col("CarrierCode"), "left")
+    return fleets.join(summary.withColumnRenamed("Carrier", "__carrier"), F.col("Carrier").eqNullSafe(F.col("__carrier"))).drop("__carrier")
 
 
 def match_responses(requests: DataFrame, responses: DataFrame) -> DataFrame:

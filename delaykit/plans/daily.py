@@ -11,6 +11,7 @@ from delaykit.schemas import BATCH_REQUEST
 from delaykit.sources.documents import append_results, read_requests
 from delaykit.sources.files import read_daily, write_daily
 
+# Folders of the three steps.
 TASKS = "prediction_tasks_daily.json"
 RESULTS = "prediction_results_daily.json"
 REJECTS = "prediction_rejects_daily.json"

@@ -4,11 +4,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delaykit.functions import roll_overnight, to_event_ts
+from delaykit.operators.aggregates import route_distances
 from delaykit.operators.filters import drop_unlabelled
 from delaykit.operators.ordering import sample_rows, sort_features
 from delaykit.operators.projections import conform, select_features
 from delaykit.schemas import FEATURES
+from delaykit.sources.distances import load_distances
 from delaykit.sources.files import export_json, read_flights
+from delaykit.sources.tables import upsert_keyed
 
 
 def derive_features(selected: DataFrame, ntz: bool = False) -> DataFrame:
@@ -41,3 +44,12 @@ def feature_job(spark, source: str, target: str, fraction: float | None = None,
     """On-time table to sorted, compressed JSON lines."""
     features = sort_features(extract_features(read_flights(spark, source), fraction, seed))
     export_json(features, target, compression="bzip2")
+
+
+def distance_job(spark, flights: DataFrame, exported: str, root: str, batch_id: int | str = 0) -> None:
+    """Average distance per route as JSON lines, and from there as a batch of the keyed table that requests look up.
+
+    Read the table by ``read_keyed`` on (Origin, Dest): requests then never average the flights again.
+    """
+    export_json(route_distances(flights, None), exported, order_by=["Distance"])
+    upsert_keyed(load_distances(spark, exported), root, batch_id)

@@ -13,12 +13,13 @@ def read_requests(
     options: dict | None = None,
     schema=None,
     inclusive: bool = True,
+    column: str = "Timestamp",
 ) -> DataFrame:
     """One day of requests; the time range is left to the source where it can filter."""
     reader = spark.read.format(fmt).options(**(options or {}))
     if schema is not None:
         reader = reader.schema(schema)
-    return for_day(reader.load(source) if source else reader.load(), iso_date, inclusive)
+    return for_day(reader.load(source) if source else reader.load(), iso_date, inclusive, column)
 
 
 def append_results(

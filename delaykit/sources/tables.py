@@ -68,10 +68,10 @@ def stream_writer(df: DataFrame) -> str:
     return df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
 
 
-def read_keyed(spark: SparkSession, root: str, keys: list[str], order_col: str) -> DataFrame:
-    """Current state: the latest row per key over all batches; of equally late ones the last written."""
+def read_keyed(spark: SparkSession, root: str, keys: list[str], order_col: str | None = None) -> DataFrame:
+    """Current state: the latest row per key over all batches; of equally late ones, or without order, the last written."""
     rows = spark.read.parquet(root).drop(WRITER_COLUMN, BATCH_COLUMN)
-    return latest_per_key(rows, keys, order_col, WRITTEN_COLUMN).drop(WRITTEN_COLUMN)
+    return latest_per_key(rows, keys, *([order_col] if order_col else []), WRITTEN_COLUMN).drop(WRITTEN_COLUMN)
 
 
 def compact_keyed(spark: SparkSession, root: str, new_root: str, keys: list[str], order_col: str) -> None:

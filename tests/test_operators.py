@@ -1,7 +1,7 @@
 """Projections, filters, requests, copies, latest rows, lookups and aggregates."""
 
 import random
-from collections import Counter, defaultdict
+from collections import defaultdict
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -100,17 +100,6 @@ def test_caller_ids_are_kept_and_others_drawn(spark):
 # --- copies -----------------------------------------------------------------
 
 
-def test_folded_copies_are_whole(spark):
-    data = [("hot", None)] * 25 + [("a", 1)] * 3 + [("b", 2)]
-    df = spark.createDataFrame(data, "k string, v int").repartition(4)
-    folded = copies.fold_copies(df, 10).collect()
-    assert sorted(r[copies.COPIES] for r in folded) == [1, 3, 5, 10, 10]
-    totals = Counter()
-    for r in folded:
-        totals[(r.k, r.v)] += r[copies.COPIES]
-    assert totals == Counter(data)
-
-
 def test_whole_sort_spreads_copies_and_keeps_order(spark):
     data = [(1, "x")] * 400 + [(i % 7, f"s{i}") for i in range(800)]
     random.Random(3).shuffle(data)
@@ -126,38 +115,23 @@ def test_whole_sort_spreads_copies_and_keeps_order(spark):
     assert sum(sizes) == len(data) and max(sizes) < 250
 
 
-@pytest.mark.parametrize("distinct", [False, True])
-def test_lists_are_bounded_and_whole(spark, distinct):
-    rng = random.Random(5)
-    data = [("hot", f"t{rng.randrange(300)}") for _ in range(900)]
-    data += [("hot", "copy")] * 300 + [("small", "a"), ("small", "a"), ("small", "b"), (None, "n")]
-    df = spark.createDataFrame(data, "k string, v string").repartition(5)
-    out = copies.bounded_lists(df, ["k"], ["v"], "items", "total", 50, distinct=distinct).collect()
-    expected = defaultdict(list)
-    for k, v in set(data) if distinct else data:
-        expected[k].append(v)
-    found, parts = defaultdict(list), Counter()
-    for r in out:
-        assert r["items"] == sorted(r["items"])
-        assert r["total"] == len(expected[r["k"]])
-        found[r["k"]] += r["items"]
-        parts[r["k"]] += 1
-    assert {k: sorted(v) for k, v in found.items()} == {k: sorted(v) for k, v in expected.items()}
-    assert parts["small"] == parts[None] == 1 and parts["hot"] > 3
-    assert max(len(r["items"]) for r in out) < 110
-
-
-def test_flights_per_airplane_shape(spark):
+def test_flights_per_airplane_are_sorted_rows(spark):
     data = [("N1", "AA", "2024-01-02", "7", "A", "B"), ("N1", "AA", "2024-01-01", "9", "B", "A"), ("N2", "DL", "2024-01-01", "1", "A", "C")]
-    out = {r.TailNum: r for r in aggregates.flights_per_airplane(spark.createDataFrame(data, FLIGHT)).collect()}
-    assert [tuple(f) for f in out["N1"].Flights] == [("AA", "2024-01-01", "9", "B", "A"), ("AA", "2024-01-02", "7", "A", "B")]
-    assert out["N1"].FlightCount == 2 and out["N2"].Part == 0
+    data = [*data, data[0], (None, "DL", "2024-01-01", "1", "A", "C")]
+    df = spark.createDataFrame(data, FLIGHT)
+    key = lambda r: (r[0] is not None, r)
+    assert [tuple(r) for r in aggregates.flights_per_airplane(df).collect()] == sorted(data, key=key)
+    totals = {r.TailNum: r.FlightCount for r in aggregates.airplane_totals(df).collect()}
+    assert totals == {"N1": 3, "N2": 1, None: 1}
 
 
-def test_airplanes_per_carrier_counts_distinct_tails(spark):
+def test_airplanes_per_carrier_counts_distinct_tails(spark, rows):
     data = [("N1", "AA", "d", "1", "A", "B"), ("N1", "AA", "d", "2", "A", "B"), ("N3", "AA", "d", "3", "A", "B"), (None, "AA", "d", "3", "A", "B")]
-    row = aggregates.airplanes_per_carrier(spark.createDataFrame(data, FLIGHT)).first()
-    assert row.TailNumbers == ["N1", "N3"] and row.FleetCount == 2
+    fleets = aggregates.airplanes_per_carrier(spark.createDataFrame(data, FLIGHT))
+    assert rows(fleets) == [("AA", "N1"), ("AA", "N3")]
+    assert rows(aggregates.fleet_totals(fleets)) == [("AA", 2)]
+    airlines = spark.createDataFrame([("ZZ", "Other")], "CarrierCode string, Name string")
+    assert rows(lookups.carrier_profile(airlines, fleets)) == [("AA", "N1", 2, None, None), ("AA", "N3", 2, None, None)]
 
 
 # --- one row per key --------------------------------------------------------
