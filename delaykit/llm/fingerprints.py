@@ -74,7 +74,7 @@ def fingerprints(texts: list[str | None], samples: int = SAMPLES) -> list[bytes]
         places: dict[bytes, int] = {}
         rows: list[list[int]] = []
         for bag in bags[first:]:
-            if rows and len(places) >= TERMS:
+            if rows and (len(places) >= TERMS or len(bag) > TERMS):
                 break
             rows.append([places.setdefault(word, len(places)) for word in bag])
         chunk = bags[first : first + len(rows)]

@@ -107,6 +107,10 @@ def test_long_text_in_parts_is_the_same(monkeypatch):
     whole = fingerprints.fingerprints([LONG, "x y x"])
     monkeypatch.setattr(fingerprints, "TERMS", 100)
     assert fingerprints.fingerprints([LONG, "x y x"]) == whole
+    held, draw = [], fingerprints.variates
+    monkeypatch.setattr(fingerprints, "variates", lambda terms, n: held.append(len(terms)) or draw(terms, n))
+    assert fingerprints.fingerprints(["x y x", LONG]) == whole[::-1]
+    assert max(held) <= 200
 
 
 def test_edited_texts_and_neighbours(spark):
