@@ -98,6 +98,12 @@ def records_of(row_id: int, page_id, url, payload: bytes, name: str, refers_to,
             yield k, record({**own, "WARC-Segment-Origin-ID": urn, "WARC-Segment-Number": k, **last}, part)
 
 
+def with_squeezed(batch: pa.RecordBatch, name: str) -> pa.RecordBatch:
+    """The batch with a column of bytes compressed value by value, as shuffles would compress it less."""
+    small = pa.array([zlib.compress(x) for x in batch.column(name).to_pylist()], pa.binary())
+    return pa.RecordBatch.from_arrays([small if n == name else batch.column(n) for n in batch.schema.names], batch.schema.names)
+
+
 def write_archives(
     pages: DataFrame, path: str, segment: int = SEGMENT_BYTES, least_revisit: int = 0, archive_bytes: int = ARCHIVE_BYTES,
     id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
@@ -111,14 +117,16 @@ def write_archives(
     # The digest as text is worked out in the task; equal payloads meet by their SHA-1 and length.
     rows = rows.withColumn("sha", F.sha1("payload")).withColumn("bytes", F.octet_length("payload"))
     firsts = rows.filter(F.col("bytes") >= least_revisit).groupBy("sha", "bytes").agg(F.min("page_id").alias("first"))
-    linked = rows.join(firsts, ["sha", "bytes"], "left").select(
+    squeezed = rows.mapInArrow(lambda batches: (with_squeezed(b, "payload") for b in batches), rows.schema)
+    linked = squeezed.join(firsts, ["sha", "bytes"], "left").select(
         "row_id", "page_id", "url", "payload", F.when(F.col("first") < F.col("page_id"), F.col("first")).alias("refers_to")
     )
 
     def run(batches):
         for batch in batches:
             keys, made = [], []
-            for row_id, page_id, url, payload, refers_to in zip(*(c.to_pylist() for c in batch.columns)):
+            for row_id, page_id, url, squeezed, refers_to in zip(*(c.to_pylist() for c in batch.columns)):
+                payload = zlib.decompress(squeezed)
                 for k, data in records_of(row_id, page_id, url, payload, digest(payload), refers_to, segment):
                     keys.append((row_id * 1_000_003 + k) & (1 << 62) - 1)
                     made.append(data)
@@ -173,7 +181,8 @@ def read_archives(spark: SparkSession, path: str, tasks: int | None = None) -> D
                     rows.append((
                         h.get("warc-segment-origin-id") or h["warc-record-id"], int(h.get("warc-segment-number", 0)),
                         number(h.get("warc-segment-total-length")), number(h.get("warc-page-id")), kind,
-                        number(h.get("warc-refers-to-page-id")), h.get("warc-payload-digest", "").removeprefix("sha1:"), block,
+                        number(h.get("warc-refers-to-page-id")), h.get("warc-payload-digest", "").removeprefix("sha1:"),
+                        zlib.compress(block),
                     ))
                     held += len(block)
                     if held > 4_000_000:
@@ -190,7 +199,7 @@ def read_archives(spark: SparkSession, path: str, tasks: int | None = None) -> D
                 if group and group[0][0] != row[0]:
                     out.append(assembled(group))
                     group = []
-                group.append(row)
+                group.append((*row[:-1], zlib.decompress(row[-1])))
             if out:
                 yield batch_of(out)
         if group:
