@@ -3,20 +3,24 @@ r"""Conversations from messages that quote each other.
 Lines that begin with marks (``>``) are quotations, nested as deep as they have marks. A message's own text
 is its lines without marks, less the line that announces a quotation. Taking one mark off every quoted line
 gives the quoted passage, which is normalised (marks spaced alike, A-Z lower-cased, white space joined) and
-hashed; the hash is joined to the whole messages, and to the paragraphs of their own text. The parent is
-the earliest message that a whole passage matches, or else one of its paragraphs.
-
-Only message and hash meet in the join, and of messages with equal text the first alone, so that no quoted
-passage, however common, gives more than one row for each message that quotes it. Replies are ordered by
+hashed, and so are its paragraphs. A whole passage is looked for among whole messages and own texts, its
+paragraphs among those of own texts, first of messages that themselves quote what the passage quotes. Of all
+earlier messages that hold a text, the latest is the candidate, and a whole passage goes before paragraphs in
+the same context, and these before other paragraphs.
+
+Holders and askers of a hash are laid in the order of ids, and each asker takes the last holder so far. A
+hash that many messages share is cut into ranges of ids, each of which starts from the last holder of the
+ranges before it, so no pairs are made and every message stays a candidate. Replies are ordered by
 following parents in doubling steps, in as many rounds as the logarithm of the deepest thread.
 
 Corner cases: a null or empty message has no text and no parent; a message without a match begins its own
-conversation, and so does one with a null id; equal messages are each kept, and replies go to the first;
+conversation, and so does one with a null id; equal messages are each kept, and replies go to the last before
+them;
 rows that share an id and have different parents follow the first; an empty table gives no rows; columns
 other than id, role and text are not read.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from delaykit.llm.common import let, stored
@@ -45,7 +49,7 @@ def normalised(text: Column) -> Column:
 
 def hashed(text: Column) -> Column:
     """Hash of a normalised text; null if nothing is left of it."""
-    return let(normalised(text), lambda t: F.when(t != "", F.sha2(t, 256)))
+    return let(normalised(text), lambda t: F.when(t != "", F.unhex(F.sha2(t, 256))))
 
 
 def own_text(lines: Column) -> Column:
@@ -66,7 +70,10 @@ def paragraphs(text: Column) -> Column:
 
 
 def parse(messages: DataFrame, id_col: str, role_col: str, text_col: str) -> DataFrame:
-    """(id, role, own, quote_depth, whole, parts, quote, quote_parts): texts and hashes of each message."""
+    """(id, role, own, quote_depth, wholes, parts, context, quote, quote_parts, quote_context): texts and hashes of each message.
+
+    The context of a text is the own text of what it quotes.
+    """
     text = F.replace(F.coalesce(F.col(text_col), F.lit("")), F.lit("\r\n"), F.lit("\n"))
     lines = messages.select(
         F.col(id_col).alias("id"), F.col(role_col).alias("role"), text.alias("body"),
@@ -80,25 +87,52 @@ def parse(messages: DataFrame, id_col: str, role_col: str, text_col: str) -> Dat
         ))).alias("t"),
     )
     each = lambda text: F.array_compact(F.array_distinct(F.transform(paragraphs(text), hashed)))
-    inner = own_text(F.split("t.quoted", "\n"))
+    inner = lambda text: own_text(F.split(text, "\n"))
+    deeper = quoted_text(F.split("t.quoted", "\n"))
     return texts.select(
-        "id", "role", "t.own", F.col("t.depth").alias("quote_depth"), hashed(F.col("body")).alias("whole"), each(F.col("t.own")).alias("parts"),
-        hashed(F.col("t.quoted")).alias("quote"), F.when(F.col("t.depth") > 0, each(inner)).alias("quote_parts"),
+        "id", "role", "t.own", F.col("t.depth").alias("quote_depth"),
+        F.array_compact(F.array_distinct(F.array(hashed(F.col("body")), hashed(F.col("t.own"))))).alias("wholes"),
+        each(F.col("t.own")).alias("parts"), hashed(inner(F.col("t.quoted"))).alias("context"),
+        hashed(F.col("t.quoted")).alias("quote"), F.when(F.col("t.depth") > 0, each(inner(F.col("t.quoted")))).alias("quote_parts"),
+        hashed(inner(deeper)).alias("quote_context"),
     )
 
 
+def last_holders(held: DataFrame, asked: DataFrame) -> DataFrame:
+    """(id, kind, found) of each row of ``asked`` (kind, hash, id): the last lower id in ``held`` with its kind and hash."""
+    both = held.withColumn("holds", F.lit(True)).union(asked.withColumn("holds", F.lit(False)))
+    rows = both.groupBy("kind", "hash", "id").agg(F.max("holds").alias("holds"), F.min("holds").alias("only_holds"))
+    ranged = stored(rows.repartitionByRange("kind", "hash", "id").withColumn("range", F.spark_partition_id()), "ranged")
+    holder = F.when(F.col("holds"), F.col("id"))
+    ends = ranged.groupBy("kind", "hash", "range").agg(F.max(holder).alias("last"))
+    ranges = Window.partitionBy("kind", "hash").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.withColumn("carried", F.max("last").over(ranges)).filter("carried is not null").drop("last")
+    before = Window.partitionBy("range", "kind", "hash").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
+    near = ranged.withColumn("near", F.max(holder).over(before)).filter("not only_holds")
+    return (
+        near.join(carried, ["range", "kind", "hash"], "left")
+        .select("id", "kind", F.coalesce("near", "carried").alias("found"))
+        .filter("found is not null")
+    )
+
+
 def link_parents(parsed: DataFrame) -> DataFrame:
     """(id, parent) of the messages that quote another, earlier one."""
     known = parsed.filter("id is not null")
-    wholes = known.filter("whole is not null").groupBy(F.col("whole").alias("hash")).agg(F.min("id").alias("found")).withColumn("kind", F.lit(0))
-    parts = known.select("id", F.explode("parts").alias("hash")).groupBy("hash").agg(F.min("id").alias("found")).withColumn("kind", F.lit(1))
-    asked = known.filter("quote is not null").select("id", F.col("quote").alias("hash"), F.lit(0).alias("kind")).union(
-        known.select("id", F.explode("quote_parts").alias("hash"), F.lit(1).alias("kind"))
-    )
-    found = asked.join(wholes.unionByName(parts), ["hash", "kind"]).filter("found < id")
+
+    def texts(wholes: Column, parts: Column, context: Column) -> DataFrame:
+        """(kind, hash, id): 0 for whole texts, 1 for paragraphs in their context, 2 for paragraphs."""
+        entry = lambda kind: lambda h: F.struct(F.lit(kind).alias("kind"), h.alias("hash"))
+        placed = F.when(context.isNotNull(), F.transform(parts, lambda h: F.unhex(F.sha2(F.concat(h, context), 256))))
+        lists = F.transform(wholes, entry(0)), F.transform(placed, entry(1)), F.transform(parts, entry(2))
+        each = F.flatten(F.array_compact(F.array(*lists)))
+        return known.select("id", F.explode(each).alias("e")).select("e.kind", "e.hash", "id")
+
+    held = texts(F.col("wholes"), F.col("parts"), F.col("context"))
+    asked = texts(F.array_compact(F.array("quote")), F.col("quote_parts"), F.col("quote_context"))
     # A paragraph may have been quoted on: the latest message that it leads to is the one replied to.
-    best = F.min(F.struct(F.col("kind"), F.when(F.col("kind") == 0, F.col("found")).otherwise(-F.col("found")).alias("order"), F.col("found")))
-    return found.groupBy("id").agg(best.alias("best")).select("id", F.col("best.found").alias("parent"))
+    best = F.max(F.struct((-F.col("kind")).alias("order"), F.col("found")))
+    return last_holders(held, asked).groupBy("id").agg(best.alias("best")).select("id", F.col("best.found").alias("parent"))
 
 
 def conversations(messages: DataFrame, id_col: str = "message_id", role_col: str = "role", text_col: str = "text") -> DataFrame:

@@ -238,6 +238,36 @@ def test_replies_follow_what_they_quote(spark):
     assert sorted(v.path for k, v in out.items() if k in (1, 2, 3, 4)) == [out[k].path for k in (1, 2, 3, 4)]
 
 
+def test_replies_go_to_the_latest_holder(spark):
+    rows = [
+        (1, "a", "thanks"),
+        (2, "b", "Shall we go?"),
+        (3, "a", "On Monday b wrote:\n> Shall we go?\nthanks"),
+        (4, "b", "> thanks\nSee you."),
+        (5, "a", "Is it raining?"),
+        (6, "b", "> Is it raining?\nthanks"),
+        (7, "a", "thanks"),
+        (8, "b", ">> Shall we go?\n> thanks\nDone."),
+        (9, "b", "> thanks\nYes."),
+    ]
+    out = chat_quotes.conversations(spark.createDataFrame(rows, "message_id bigint, role string, text string")).collect()
+    assert {r.message_id: r.parent_id for r in out} == {1: None, 2: None, 3: 2, 4: 3, 5: None, 6: 5, 7: None, 8: 3, 9: 7}
+    assert {r.root_id for r in out if r.message_id in (2, 3, 4, 8)} == {2}
+
+
+def test_last_holders_against_brute_force(spark):
+    rng = np.random.default_rng(5)
+    draw = lambda n: [(0, b"hot" if rng.random() < 0.4 else bytes([rng.integers(40)]), int(rng.integers(5000))) for _ in range(n)]
+    held, asked = draw(3000), draw(3000)
+    schema = "kind int, hash binary, id bigint"
+    out = chat_quotes.last_holders(spark.createDataFrame(held, schema), spark.createDataFrame(asked, schema)).collect()
+    want = collections.Counter()
+    for kind, text, asker in set(asked):
+        if earlier := [i for _, h, i in held if h == text and i < asker]:
+            want[asker, kind, max(earlier)] += 1
+    assert collections.Counter((r.id, r.kind, r.found) for r in out) == want
+
+
 # --- importance ------------------------------------------------------------
 
 
