@@ -14,6 +14,7 @@ ORACLES: dict[str, str] = {}
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def query(sql: str | None = None):
@@ -185,3 +186,84 @@ def op6_importance(spark, sf_dir):
 
     good = table(spark, sf_dir, "labels").filter("quality = 1")
     return importance_resample(table(spark, sf_dir, "documents"), good)
+
+
+OP11_SQL = """
+WITH whole AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM whole a JOIN whole b ON a.vec_id % 100 = 0 AND a.vec_id IS DISTINCT FROM b.vec_id
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+FROM positives p JOIN scores s ON p.anchor_id = s.anchor_id AND NOT same
+  AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
+
+@query(OP11_SQL)
+def op11_hard_negatives(spark, sf_dir):
+    from delaykit.llm.hard_negatives import hard_negatives
+
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+OP12_SQL = r"""
+WITH docs AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS d,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents
+), tokens AS (
+  SELECT lang, source, d, unnest(words) AS term FROM docs
+), kept AS (
+  SELECT lang, term, count(*) AS total FROM tokens GROUP BY ALL HAVING count(DISTINCT d) >= 3
+), langs AS (
+  SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY lang
+), counts AS (
+  SELECT lang, source, term, count(*) AS c FROM tokens JOIN kept USING (lang, term) GROUP BY ALL
+), groups AS (
+  SELECT DISTINCT lang, source FROM docs
+), sizes AS (
+  SELECT lang, source, coalesce(sum(c), 0) AS n FROM groups LEFT JOIN counts USING (lang, source) GROUP BY ALL
+), grid AS (
+  SELECT s.lang, s.source, k.term, coalesce(c, 0) AS c,
+    1 + (1000000000 * (coalesce(c, 0) + 1)::HUGEINT) // (s.n + v) AS p,
+    1 + (1000000000 * (total + 1)::HUGEINT) // (l.n + v) AS q
+  FROM sizes s JOIN kept k USING (lang) JOIN langs l USING (lang) LEFT JOIN counts c USING (lang, source, term)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM grid a JOIN grid b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM grid WHERE c > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+  CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM found QUALIFY part = 'pair' OR rank <= 200
+"""
+
+
+@query(OP12_SQL)
+def op12_source_divergence(spark, sf_dir):
+    from delaykit.llm.source_divergence import source_divergence
+
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_token_counts(spark, sf_dir):
+    from delaykit.llm.token_counts import token_counts
+
+    return token_counts(table(spark, sf_dir, "documents"), WORD_VOCABULARY)
