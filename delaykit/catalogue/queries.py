@@ -9,12 +9,13 @@ from collections.abc import Callable
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from delaykit import functions as DF
 from delaykit.catalogue import views as V
+from delaykit.catalogue.registry import query
 from delaykit.operators import aggregates, filters, lookups, ml, ordering, projections
 from delaykit.operators import requests as request_ops
 from delaykit.operators.latest import merge_latest
@@ -29,21 +30,6 @@ from delaykit.sources import files, models, tables, topics
 from delaykit.sources.documents import read_requests
 from delaykit.streaming import scoring, status
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None, *sql_views: str):
-    def add(fn: Query) -> Query:
-        QUERIES[fn.__name__] = fn
-        if sql is not None:
-            ORACLES[fn.__name__] = V.with_views(sql, *sql_views) if sql_views else sql.strip()
-        return fn
-
-    return add
-
-
 FLIGHTS = (V.FLIGHTS_SQL,)
 REQUESTS = (V.REQUESTS_SQL,)
 ANSWERS = (V.REQUESTS_SQL, V.RESPONSES_SQL)
@@ -122,7 +108,7 @@ def json_feature_file(spark, sf_dir):
     selected = filters.drop_unlabelled(projections.select_features(V.flights(spark, sf_dir)))
     # The file holds the UTC wall clock whatever the session time zone.
     features = derive_features(selected, ntz=True).withColumn("CRSDepTime", F.col("CRSDepTime").cast("string"))
-    files.export_json(features, path, compression="bzip2")
+    files.export_json(features, path, compression="gzip")
     wall_clock = StructType(
         [StructField(f.name, f.dataType) for f in FEATURES.fields if f.name not in ("CRSDepTime", "CRSArrTime")]
     ).add("CRSDepTime", "string")
@@ -170,37 +156,38 @@ def published_table(spark, sf_dir):
 
 
 def _later_responses(answered: DataFrame) -> DataFrame:
+    """Second answers to a third of the requests: some as late as what is stored, some later, some earlier."""
     number = F.expr("substring(UUID, 5)").cast("bigint")
     return answered.filter(number % 3 == 0).select(
         "UUID",
         (F.col("Prediction") + 10).alias("Prediction"),
-        # Half of the repeats are newer, half older than what is stored.
-        F.when(number % 2 == 0, F.col("Timestamp") + F.expr("INTERVAL '1' HOUR"))
+        F.when(number % 9 == 0, F.col("Timestamp"))
+        .when(number % 2 == 0, F.col("Timestamp") + F.expr("INTERVAL '1' HOUR"))
         .otherwise(F.col("Timestamp") - F.expr("INTERVAL '1' HOUR"))
         .alias("Timestamp"),
     )
 
 
 UPSERTED_SQL = """SELECT "UUID",
-  CASE WHEN e % 6 = 0 THEN "Prediction" + 10 ELSE "Prediction" END AS "Prediction",
-  CASE WHEN e % 6 = 0 THEN "Timestamp" + INTERVAL 1 HOUR ELSE "Timestamp" END AS "Timestamp"
+  CASE WHEN e % 9 = 0 OR e % 6 = 0 THEN "Prediction" + 10 ELSE "Prediction" END AS "Prediction",
+  CASE WHEN e % 6 = 0 AND e % 9 <> 0 THEN "Timestamp" + INTERVAL 1 HOUR ELSE "Timestamp" END AS "Timestamp"
 FROM (SELECT *, CAST(substr("UUID", 5) AS BIGINT) AS e FROM responses)"""
 
 
-@query(UPSERTED_SQL, V.RESPONSES_SQL)
+@query(UPSERTED_SQL, V.ALL_RESPONSES_SQL)
 def keyed_upsert(spark, sf_dir):
     """State of a keyed table after two batches, the second of them written twice."""
     root = f"{new_work_dir(spark)}/responses"
-    answered = V.responses(spark, sf_dir)
+    answered = V.all_responses(spark, sf_dir)
     later = _later_responses(answered)
     for batch_id, batch in ((0, answered), (1, later), (1, later)):
         tables.upsert_keyed(batch, root, batch_id)
     return tables.read_keyed(spark, root, ["UUID"], "Timestamp")
 
 
-@query(UPSERTED_SQL, V.RESPONSES_SQL)
+@query(UPSERTED_SQL, V.ALL_RESPONSES_SQL)
 def merged_state(spark, sf_dir):
-    answered = V.responses(spark, sf_dir)
+    answered = V.all_responses(spark, sf_dir)
     return merge_latest(answered, _later_responses(answered), ["UUID"], "Timestamp")
 
 
@@ -409,20 +396,20 @@ def stripped_columns(spark, sf_dir):
       CASE "Prediction" WHEN 0 THEN 'On Time (0-15 Minute Delay)' WHEN 1 THEN 'Slightly Late (15-60 Minute Delay)'
         WHEN 2 THEN 'Very Late (60+ Minute Delay)' ELSE 'Unknown' END AS label_batch
     FROM responses""",
-    V.RESPONSES_SQL,
+    V.ALL_RESPONSES_SQL,
 )
 def delay_labels(spark, sf_dir):
     labels = [DF.delay_label("Prediction", s).alias(f"label_{s}") for s in DF.LABEL_SCHEMES]
-    return V.responses(spark, sf_dir).select("UUID", *labels)
+    return V.all_responses(spark, sf_dir).select("UUID", *labels)
 
 
 @query(
     """SELECT "UUID", CASE "Prediction" WHEN 0 THEN 'ok' WHEN 1 THEN 'ok' WHEN 3 THEN 'late' ELSE 'warn' END
       AS severity FROM responses""",
-    V.RESPONSES_SQL,
+    V.ALL_RESPONSES_SQL,
 )
 def severities(spark, sf_dir):
-    return V.responses(spark, sf_dir).select("UUID", DF.severity("Prediction").alias("severity"))
+    return V.all_responses(spark, sf_dir).select("UUID", DF.severity("Prediction").alias("severity"))
 
 
 @query(
@@ -559,13 +546,15 @@ def request_status(spark, sf_dir):
 AWAIT_SQL = """SELECT q."UUID", q."Timestamp",
   CASE WHEN r."UUID" IS NULL THEN 'TIMEOUT' ELSE 'ANSWERED' END AS status,
   r."Timestamp" AS answered_at, r."Prediction"
-FROM requests q LEFT JOIN responses r ON q."UUID" = r."UUID"
-  AND r."Timestamp" BETWEEN q."Timestamp" AND q."Timestamp" + INTERVAL 120 SECOND"""
+FROM requests q LEFT JOIN answers r ON q."UUID" = r."UUID"
+  AND r."Timestamp" BETWEEN q."Timestamp" AND q."Timestamp" + INTERVAL 120 SECOND
+QUALIFY row_number() OVER (PARTITION BY q."UUID" ORDER BY r."Timestamp", r."Prediction") = 1"""
+REPEATED = (V.REQUESTS_SQL, V.RESPONSES_SQL, V.ANSWERS_SQL)
 
 
-@query(AWAIT_SQL, *ANSWERS)
+@query(AWAIT_SQL, *REPEATED)
 def awaited_responses(spark, sf_dir):
-    return lookups.await_responses(V.requests(spark, sf_dir), V.responses(spark, sf_dir))
+    return lookups.await_responses(V.requests(spark, sf_dir), V.answers(spark, sf_dir))
 
 
 @query(
@@ -1035,16 +1024,19 @@ STATE_SQL = STORAGE_SQL.replace(""",
 
 @query(STATE_SQL, *ROUTED)
 def stream_restart(spark, sf_dir):
-    """State after two halves on one checkpoint and then all messages again on a new one."""
+    """State after a third of the messages, a second third after a restart, and the last by another stream.
+
+    The other stream has its own messages and checkpoint but writes to the same table, so its batches must not
+    take the place of the first stream's.
+    """
     folder = new_work_dir(spark)
     asked = V.requests(spark, sf_dir).withColumn("Timestamp", F.col("Timestamp").cast("string"))
     enriched = request_ops.with_date_parts(lookups.with_distance(asked, _distances(spark, sf_dir)))
-    half = F.expr("substring(UUID, 5)").cast("bigint") % 2
-    for part, checkpoint in ((0, "first"), (1, "first"), (None, "second")):
-        if part is not None:
-            topics.publish_json(enriched.filter(half == part), f"{folder}/requests", fmt="text")
-        messages = topics.read_request_stream(spark, fmt="text", path=f"{folder}/requests")
-        _run_scoring(scoring.request_stream(messages), folder, checkpoint)
+    third = F.expr("substring(UUID, 5)").cast("bigint") % 3
+    for part, name in ((0, "first"), (1, "first"), (2, "second")):
+        topics.publish_json(enriched.filter(third == part), f"{folder}/{name}_requests", fmt="text")
+        messages = topics.read_request_stream(spark, fmt="text", path=f"{folder}/{name}_requests")
+        _run_scoring(scoring.request_stream(messages), folder, name)
     return tables.read_keyed(spark, f"{folder}/table", ["uuid"], "timestamp").drop("timestamp")
 
 
@@ -1076,7 +1068,7 @@ def stream_rejects(spark, sf_dir):
     return spark.read.parquet(f"{folder}/rejected").select("UUID", "error")
 
 
-@query(AWAIT_SQL, *ANSWERS)
+@query(AWAIT_SQL, *REPEATED)
 def stream_awaited_responses(spark, sf_dir):
     """Answered and timed-out requests of two streams.
 
@@ -1090,7 +1082,7 @@ def stream_awaited_responses(spark, sf_dir):
     )
     columns = ["UUID", "Prediction", "Timestamp"]
     asked = V.requests(spark, sf_dir).withColumn("Prediction", F.lit(None).cast("double")).select(*columns)
-    answered = V.responses(spark, sf_dir).select(*columns)
+    answered = V.answers(spark, sf_dir).select(*columns)
     streams = []
     for name, rows in (("requests", asked), ("responses", answered)):
         rows.unionByName(closing).write.parquet(f"{folder}/{name}")

@@ -107,7 +107,17 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def all_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    event = F.col("event_id")
+    return table(spark, sf_dir, "events").select(
+        F.concat(F.lit("evt-"), event.cast("string")).alias("UUID"),
+        (event % 4).cast("double").alias("Prediction"),
+        (F.col("ts") + F.make_dt_interval(secs=(event % 240))).alias("Timestamp"),
+    )
+
+
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers to the requests of three event types; the others get none."""
     event = F.col("event_id")
     answered = table(spark, sf_dir, "events").filter(F.col("event_type").isin("purchase", "view", "click"))
     return answered.select(
@@ -117,6 +127,24 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Second answers: which requests have them, seconds from the request or from the first answer, what is added to the class.
+REPEATS = [(6, 0, "asked", -5, 20), (4, 1, "answered", 7, 10), (10, 3, "answered", -3, 30), (14, 5, "answered", 0, 40)]
+
+
+def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``responses`` with some that come before their request, repeated ones, and some at the same time."""
+    first = responses(spark, sf_dir).withColumn("e", F.expr("substring(UUID, 5)").cast("bigint"))
+    asked = F.col("Timestamp") - F.make_dt_interval(secs=F.col("e") % 240)
+    given = [F.struct("Prediction", "Timestamp", F.lit(True).alias("given"))]
+    for by, rest, since, seconds, more in REPEATS:
+        at = (asked if since == "asked" else F.col("Timestamp")) + F.expr(f"INTERVAL '{seconds}' SECOND")
+        given.append(
+            F.struct((F.col("Prediction") + more).alias("Prediction"), at.alias("Timestamp"), (F.col("e") % by == rest).alias("given"))
+        )
+    each = F.explode(F.filter(F.array(*given), lambda x: x["given"]))
+    return first.select("UUID", each.alias("a")).select("UUID", "a.Prediction", "a.Timestamp")
+
+
 def stored_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Responses with the request fields, under the stored names."""
     asked = requests(spark, sf_dir).select("UUID", "Origin", "Dest", "Carrier", "FlightDate")
@@ -196,6 +224,26 @@ responses AS (
   FROM events WHERE event_type IN ('purchase', 'view', 'click')
 )"""
 
+ALL_RESPONSES_SQL = """
+responses AS (
+  SELECT 'evt-' || event_id AS "UUID", CAST(event_id % 4 AS DOUBLE) AS "Prediction",
+         ts + to_seconds(event_id % 240) AS "Timestamp"
+  FROM events
+)"""
+
+ANSWERS_SQL = """
+answers AS (
+  SELECT * FROM responses
+  UNION ALL SELECT 'evt-' || event_id, event_id % 4 + 20.0, ts - to_seconds(5) FROM events
+    WHERE event_type IN ('purchase', 'view', 'click') AND event_id % 6 = 0
+  UNION ALL SELECT 'evt-' || event_id, event_id % 4 + 10.0, ts + to_seconds(event_id % 240 + 7) FROM events
+    WHERE event_type IN ('purchase', 'view', 'click') AND event_id % 4 = 1
+  UNION ALL SELECT 'evt-' || event_id, event_id % 4 + 30.0, ts + to_seconds(event_id % 240 - 3) FROM events
+    WHERE event_type IN ('purchase', 'view', 'click') AND event_id % 10 = 3
+  UNION ALL SELECT 'evt-' || event_id, event_id % 4 + 40.0, ts + to_seconds(event_id % 240) FROM events
+    WHERE event_type IN ('purchase', 'view', 'click') AND event_id % 14 = 5
+)"""
+
 STORED_RESPONSES_SQL = """
 stored_responses AS (
   SELECT "UUID" AS uuid, "Origin" AS origin, "Dest" AS dest, "Carrier" AS carrier,

@@ -7,7 +7,7 @@ and splits hot partitions of the request side, which is always the left one.
 The right side has one row per key, so no key multiplies rows.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delaykit.operators.aggregates import fleet_totals
@@ -39,6 +39,29 @@ def request_status(requests: DataFrame, responses: DataFrame) -> DataFrame:
     )
 
 
+def stored_status(requests: DataFrame, stored: DataFrame, fresh: DataFrame | None = None) -> DataFrame:
+    """``request_status`` over responses that are kept bucketed by ``UUID``, one row each, and ``fresh`` ones since.
+
+    Requests and fresh responses are dealt to the buckets of the stored table, which is read in place: its rows
+    are not shuffled, however many there are. Of a stored and a fresh response the later one counts, the fresh
+    one at the same time.
+    """
+    kept = stored.select("UUID", F.col("Timestamp").alias("__at"), F.col("Prediction").alias("__prediction"), F.lit("OK").alias("__kept"))
+    found = requests.select("UUID").join(kept, "UUID", "left")
+    if fresh is None:
+        return found.select("UUID", F.coalesce("__kept", F.lit("WAIT")).alias("status"), F.col("__prediction").alias("Prediction"))
+    newest = latest_per_key(fresh.select("UUID", "Timestamp", "Prediction"), ["UUID"], "Timestamp")
+    both = found.join(newest.withColumn("__fresh", F.lit("OK")), "UUID", "left")
+    later = F.col("__fresh").isNotNull() & (
+        F.col("__kept").isNull() | F.col("__at").isNull() | F.coalesce(F.col("Timestamp") >= F.col("__at"), F.lit(False))
+    )
+    return both.select(
+        "UUID",
+        F.coalesce("__kept", "__fresh", F.lit("WAIT")).alias("status"),
+        F.when(later, F.col("Prediction")).otherwise(F.col("__prediction")).alias("Prediction"),
+    )
+
+
 def await_responses(requests: DataFrame, responses: DataFrame, timeout: str = WAIT_LIMIT) -> DataFrame:
     """Requests answered within ``timeout``, or timed out.
 
@@ -51,11 +74,16 @@ def await_responses(requests: DataFrame, responses: DataFrame, timeout: str = WA
     in_time = (F.col("q.UUID") == F.col("r.UUID")) & F.col("r.answered_at").between(F.col("q.Timestamp"), limit)
     first = F.min(F.when(F.col("r.answered_at").isNotNull(), F.struct("r.answered_at", "r.Prediction"))).alias("first")
     found = asked.join(answers, in_time, "left").groupBy("q.UUID", "q.Timestamp").agg(first)
+    return status_columns(found, F.col("first.answered_at"))
+
+
+def status_columns(found: DataFrame, answered_at: Column) -> DataFrame:
+    """Status, time and class from the ``first`` answer of each request, null for none."""
     return found.select(
         "UUID",
         "Timestamp",
         F.when(F.col("first").isNotNull(), "ANSWERED").otherwise("TIMEOUT").alias("status"),
-        F.col("first.answered_at").alias("answered_at"),
+        answered_at.alias("answered_at"),
         F.col("first.Prediction").alias("Prediction"),
     )
 

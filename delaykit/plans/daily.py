@@ -9,7 +9,7 @@ from delaykit.operators.requests import default_request
 from delaykit.plans.requests import score
 from delaykit.schemas import BATCH_REQUEST
 from delaykit.sources.documents import append_results, read_requests
-from delaykit.sources.files import read_daily, write_daily
+from delaykit.sources.files import DAY_COLUMN, read_daily, read_days, write_daily, write_days
 
 # Folders of the three steps.
 TASKS = "prediction_tasks_daily.json"
@@ -48,3 +48,21 @@ def day_results(spark: SparkSession, iso_date: str, root: str) -> DataFrame:
 def load_day(spark: SparkSession, iso_date: str, root: str, sink: str | None, **sink_options) -> None:
     """Append the day's results to the document store."""
     append_results(day_results(spark, iso_date, root), sink, **sink_options)
+
+
+def fetch_days(spark: SparkSession, first: str, last: str, root: str, requests: DataFrame) -> None:
+    """``fetch_day`` for each day from ``first`` to ``last``, in one job."""
+    write_days(requests, f"{root}/{TASKS}", first, last)
+
+
+def score_days(spark: SparkSession, first: str, last: str, root: str, model: PipelineModel) -> None:
+    """``score_day`` for each day from ``first`` to ``last``: one job for the results, one for the rejects."""
+    requests = read_days(spark, f"{root}/{TASKS}", first, last, BATCH_REQUEST)
+    scorable, rejected = split_scorable(default_request(requests))
+    for rows, folder in ((rejected, REJECTS), (score(model, scorable), RESULTS)):
+        write_days(rows, f"{root}/{folder}", first, last, DAY_COLUMN, inclusive=False)
+
+
+def days_results(spark: SparkSession, first: str, last: str, root: str) -> DataFrame:
+    """Results of each day from ``first`` to ``last``, with their day."""
+    return read_days(spark, f"{root}/{RESULTS}", first, last, RESULT)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from delaykit.functions import roll_overnight, to_event_ts
 from delaykit.operators.aggregates import route_distances
+from delaykit.operators.counts import total_of, with_total
 from delaykit.operators.filters import drop_unlabelled
 from delaykit.operators.ordering import sample_rows, sort_features
 from delaykit.operators.projections import conform, select_features
@@ -43,13 +44,16 @@ def extract_features(
 def feature_job(spark, source: str, target: str, fraction: float | None = None, seed: int = 27) -> None:
     """On-time table to sorted, compressed JSON lines."""
     features = sort_features(extract_features(read_flights(spark, source), fraction, seed))
-    export_json(features, target, compression="bzip2")
+    export_json(features, target, compression="gzip")
 
 
-def distance_job(spark, flights: DataFrame, exported: str, root: str, batch_id: int | str = 0) -> None:
+def distance_job(spark, flights: DataFrame, exported: str, root: str, batch_id: int | str = 0) -> int:
     """Average distance per route as JSON lines, and from there as a batch of the keyed table that requests look up.
 
-    Read the table by ``read_keyed`` on (Origin, Dest): requests then never average the flights again.
+    Read the table by ``read_keyed`` on (Origin, Dest): requests then never average the flights again. Returns
+    the number of routes loaded, counted as they are written.
     """
     export_json(route_distances(flights, None), exported, order_by=["Distance"])
-    upsert_keyed(load_distances(spark, exported), root, batch_id)
+    loaded, seen = with_total(load_distances(spark, exported), "loaded")
+    upsert_keyed(loaded, root, batch_id)
+    return total_of(seen)

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from delaykit.catalogue.queries import ORACLES, QUERIES
+from delaykit.catalogue.registry import ORACLES, QUERIES
 from tests.compare import connect, differences
 from tests.conftest import SMALL
 

@@ -167,12 +167,11 @@ def test_response_status_stream(spark, tmp_path):
             .start(f"{tmp_path}/out")
         )
         query.awaitTermination()
-        return {r.UUID: (r.status, r.Prediction) for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+        return {r.UUID: (r.status, r.Prediction) for r in spark.read.schema(out).parquet(f"{tmp_path}/out").collect()}
 
-    early = run()
-    # Requests within the limit of the newest event are still open.
-    assert all(early[f"u{i}"][0] == "ANSWERED" for i in range(8))
-    assert sum(v[0] == "TIMEOUT" for v in early.values()) < 12
+    out = "UUID string, Timestamp timestamp, status string, answered_at timestamp, Prediction double"
+    # All requests may still get an earlier answer than those that are there.
+    assert run() == {}
     later = t + timedelta(hours=1)
     put("req", 1, [("closing", later, None)])
     put("resp", 1, [("stranger", later, 0.0)])
