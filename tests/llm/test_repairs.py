@@ -1,0 +1,47 @@
+"""Copies, clashing columns, odd records and thresholds of the earlier text operators."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from delaykit.llm import common, importance
+from tests.conftest import SMALL
+from tests.llm.test_operators import odd
+
+
+# --- importance ------------------------------------------------------------
+
+
+def test_a_third_of_equal_rows_is_cut_at_k(spark):
+    docs = common.table(spark, SMALL, "documents").select("doc_id", "text")
+    copies = spark.range(100).select(F.lit(7).cast("bigint").alias("doc_id"), F.lit("the same words again").alias("text"))
+    rows = docs.union(copies).withColumn("__id", F.lit(1)).withColumn("__target", F.lit("x")).withColumn("id", F.lit(2))
+    target = spark.createDataFrame([(7,), (7,), (None,), (10**12,)], "doc_id bigint")
+    found = importance.importance_resample(rows, target, 0.5)
+    assert found.columns == ["doc_id", "n_features", "log_weight", "sample_key", "kept"]
+    kept = found.groupBy("kept").count().collect()
+    assert {r.kept: r["count"] for r in kept} == {True: 150, False: 150}
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 12])
+def test_counts_do_not_depend_on_the_filter(spark, bits):
+    docs = common.table(spark, SMALL, "documents").select(F.col("doc_id").cast("string").alias("id"), "text")
+    target = docs.filter("id % 3 = 0").select("id")
+    found = sorted(map(tuple, importance.bin_counts(docs, target, 100, bits).collect()))
+    places = importance.filter_places([r.id for r in target.collect()], bits)
+    held = importance.id_filter(target, bits)
+    assert all(held[p >> 3] >> (p & 7) & 1 for p in places.ravel())
+    texts = {r.id: r.text for r in docs.collect()}
+    raw, chosen = np.zeros(100, int), np.zeros(100, int)
+    for k, text in texts.items():
+        own = np.bincount(importance.features(text, 100), minlength=100)
+        raw += own
+        chosen += own * (int(k) % 3 == 0)
+    assert found == [(b, raw[b], chosen[b]) for b in range(100) if raw[b]]
+
+
+def test_importance_of_odd_rows_and_types(spark):
+    rows = odd(spark)
+    assert importance.importance_resample(rows, rows.select("doc_id").filter("false")).count() == rows.count()
+    named = rows.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id")))
+    assert importance.importance_resample(named, named.select("doc_id"), 1.0).filter("kept").count() == rows.count()
