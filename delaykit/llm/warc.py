@@ -1,35 +1,49 @@
 r"""WARC archives whose long records are cut into segments, and their reassembly.
 
-Writing: pages with equal payloads share one response; the others revisit it. A response's HTTP message has
-chunked framing. Messages longer than a segment go on in continuation records, which are dealt over all
-archives, so that the parts of one page usually lie in different files.
-
-Reading: archives are parsed by Content-Length, records are grouped by origin identifier and sorted by
-segment number in a shuffle, and streamed through: a task holds one message at a time. Segment numbers must
-have no gap and the length must be the one stated with the last segment; then the HTTP message is parsed and
-its chunks are decoded. A record that fails is returned with ``complete`` false and without payload.
+Writing: pages with equal payloads share one response; the others revisit it. They meet by digest and length in
+one join, whose tasks write the archives: payloads are shuffled once, and those of revisits go no further. A
+response's HTTP message has chunked framing. Messages longer than a segment go on in continuation records. An
+archive has a bounded number of records, so a page's segments may go on in another one.
+
+Reading: archives are parsed by Content-Length. A record whose segments all lie in its archive is put together
+there. The segments of the others are grouped by origin identifier and sorted by segment number in a shuffle,
+and streamed through: a task holds one message at a time. Segment numbers must have no gap and the length must be
+the one stated with the last segment; then the HTTP message is parsed and its chunks are decoded. Archives are
+read once for the former and once for the latter.
+
+A record that fails is returned with ``complete`` false and without payload: one without its segments, without
+a usable Content-Length or with one that the archive does not bear out, with headers that are no UTF-8 or no
+numbers where these are due, or with broken chunks. What cannot be read of it is null; reading goes on at the
+next record.
 
 Archives are files of Spark's text writer, whose line separator is the CRLF that ends a record: string
 columns take any bytes. So they are written and read by whatever file system Spark knows. A reading task
 holds one archive, of ``ARCHIVE_BYTES`` before compression or a little more.
 
 Corner cases: a null page is the empty payload; repeated rows are all responses if theirs is the smallest
-id, else revisits; a null id is a response on its own; an empty table gives no archive and no rows; other
-columns are not read.
+id, else revisits; a null id is a response on its own; ids are whole numbers; an empty table gives no archive
+and no rows; other columns are not read.
 """
 
 import base64
 import hashlib
+import re
 import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from delaykit.llm.common import stored
+
 ARCHIVE_BYTES = 16 * 1024**2
 SEGMENT_BYTES = 4096
 CHUNK_BYTES = 1500
 CRLF = b"\r\n"
+HEX, NUMBER = re.compile(rb"[0-9A-Fa-f]{1,15}"), re.compile(r"-?[0-9]{1,18}")
+#: Headers of a record, at most.
+HEAD_BYTES = 1 << 20
+KINDS = ("response", "revisit", "continuation")
 HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 
 
@@ -48,19 +62,17 @@ def unchunked(body: bytes) -> bytes | None:
     at, parts = 0, []
     while True:
         end = body.find(CRLF, at)
-        if end < 0:
-            return None
-        try:
-            size = int(body[at:end].split(b";")[0], 16)
-        except ValueError:
+        size = body[at:end].split(b";")[0].strip() if end >= 0 else b""
+        if not HEX.fullmatch(size):
             return None
+        length = int(size, 16)
         at = end + 2
-        if size == 0:
+        if length == 0:
             return b"".join(parts) if body[at:] == CRLF or body.endswith(b"\r\n\r\n") else None
-        if body[at + size : at + size + 2] != CRLF:
+        if body[at + length : at + length + 2] != CRLF:
             return None
-        parts.append(body[at : at + size])
-        at += size + 2
+        parts.append(body[at : at + length])
+        at += length + 2
 
 
 def record(headers: dict[str, object], block: bytes) -> bytes:
@@ -69,8 +81,8 @@ def record(headers: dict[str, object], block: bytes) -> bytes:
     return CRLF.join([*lines, b"Content-Length: %d" % len(block), b"", block]) + CRLF
 
 
-def records_of(row_id: int, page_id, url, payload: bytes, name: str, refers_to, segment: int):
-    """(part number, record) of a page."""
+def records_of(row_id: int, page_id, url, payload: bytes | None, name: str, refers_to, segment: int):
+    """The records of a page, in their order."""
     urn = f"<urn:page:{row_id}>"
     base = {
         "WARC-Type": "revisit" if refers_to is not None else "response",
@@ -82,26 +94,20 @@ def records_of(row_id: int, page_id, url, payload: bytes, name: str, refers_to,
     }
     if refers_to is not None:
         profile = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-        yield 1, record({**base, "WARC-Profile": profile, "WARC-Refers-To-Page-ID": refers_to}, b"")
+        yield record({**base, "WARC-Profile": profile, "WARC-Refers-To-Page-ID": refers_to}, b"")
         return
     message = HEAD + chunked(payload)
     parts = [message[k : k + segment] for k in range(0, len(message), segment)]
     if len(parts) == 1:
-        yield 1, record({**base, "Content-Type": "application/http;msgtype=response"}, message)
+        yield record({**base, "Content-Type": "application/http;msgtype=response"}, message)
         return
     for k, part in enumerate(parts, 1):
         last = {"WARC-Segment-Total-Length": len(message)} if k == len(parts) else {}
         if k == 1:
-            yield k, record({**base, "Content-Type": "application/http;msgtype=response", "WARC-Segment-Number": 1}, part)
+            yield record({**base, "Content-Type": "application/http;msgtype=response", "WARC-Segment-Number": 1}, part)
         else:
             own = {"WARC-Type": "continuation", "WARC-Record-ID": f"<urn:page:{row_id}:{k}>", "WARC-Date": base["WARC-Date"]}
-            yield k, record({**own, "WARC-Segment-Origin-ID": urn, "WARC-Segment-Number": k, **last}, part)
-
-
-def with_squeezed(batch: pa.RecordBatch, name: str) -> pa.RecordBatch:
-    """The batch with a column of bytes compressed value by value, as shuffles would compress it less."""
-    small = pa.array([zlib.compress(x) for x in batch.column(name).to_pylist()], pa.binary())
-    return pa.RecordBatch.from_arrays([small if n == name else batch.column(n) for n in batch.schema.names], batch.schema.names)
+            yield record({**own, "WARC-Segment-Origin-ID": urn, "WARC-Segment-Number": k, **last}, part)
 
 
 def write_archives(
@@ -109,87 +115,143 @@ def write_archives(
     id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
 ) -> None:
     """Write ``pages`` as archives below ``path``; payloads below ``least_revisit`` bytes are always responses."""
-    id_type = pages.schema[id_col].dataType.simpleString()
     html = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), html.alias("payload")).withColumn(
         "row_id", F.monotonically_increasing_id()
     )
-    # The digest as text is worked out in the task; equal payloads meet by their SHA-1 and length.
-    rows = rows.withColumn("sha", F.sha1("payload")).withColumn("bytes", F.octet_length("payload"))
+    # Equal payloads meet by their SHA-1 and length.
+    rows = rows.withColumn("sha", F.unhex(F.sha1("payload"))).withColumn("bytes", F.octet_length("payload"))
     firsts = rows.filter(F.col("bytes") >= least_revisit).groupBy("sha", "bytes").agg(F.min("page_id").alias("first"))
-    squeezed = rows.mapInArrow(lambda batches: (with_squeezed(b, "payload") for b in batches), rows.schema)
-    linked = squeezed.join(firsts, ["sha", "bytes"], "left").select(
-        "row_id", "page_id", "url", "payload", F.when(F.col("first") < F.col("page_id"), F.col("first")).alias("refers_to")
-    )
+    again = F.col("first") < F.col("page_id")
+    linked = rows.join(firsts, ["sha", "bytes"], "left").select(
+        "row_id", "page_id", "url", F.when(F.coalesce(again, F.lit(False)), None).otherwise(F.col("payload")).alias("payload"),
+        "sha", F.when(again, F.col("first")).alias("refers_to"),
+    )
 
     def run(batches):
         for batch in batches:
-            keys, made = [], []
-            for row_id, page_id, url, squeezed, refers_to in zip(*(c.to_pylist() for c in batch.columns)):
-                payload = zlib.decompress(squeezed)
-                for k, data in records_of(row_id, page_id, url, payload, digest(payload), refers_to, segment):
-                    keys.append((row_id * 1_000_003 + k) & (1 << 62) - 1)
+            made, held = [], 0
+            for row_id, page_id, url, payload, sha, refers_to in zip(*(c.to_pylist() for c in batch.columns)):
+                for data in records_of(row_id, page_id, url, payload, base64.b32encode(sha).decode(), refers_to, segment):
                     made.append(data)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(made, pa.binary())], ["key", "record"])
+                    held += len(data)
+                if held > 4_000_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["record"])
+                    made, held = [], 0
+            if made:
+                yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["record"])
 
-    size = pages.agg(F.sum(F.octet_length(html_col).cast("bigint"))).first()[0] or 0
-    made = linked.mapInArrow(run, "key bigint, record binary").repartition(max(1, -(-size // archive_bytes)), "key")
-    made.select(F.col("record").cast("string").alias("value")).write.mode("overwrite").option("lineSep", "\r\n").option(
-        "compression", "gzip"
-    ).text(path)
+    # Headers and block of a record have a bounded size but for the URL, so an archive has too.
+    per_archive = max(1, archive_bytes // (segment + 600))
+    made = linked.mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("value"))
+    made.write.mode("overwrite").option("lineSep", "\r\n").option("compression", "gzip").option("maxRecordsPerFile", per_archive).text(path)
 
 
 def unzipped(data: bytes) -> bytes:
-    """Contents of a gzip file of one or more members; other data as it is."""
+    """Contents of a gzip file of one or more members, up to where one is damaged; other data as it is."""
     parts = []
     while data[:2] == b"\x1f\x8b":
         member = zlib.decompressobj(31)
-        parts.append(member.decompress(data) + member.flush())
-        data = member.unused_data
+        try:
+            for k in range(0, len(data), 1 << 16):
+                parts.append(member.decompress(data[k : k + (1 << 16)]))
+                if member.eof:
+                    break
+        except zlib.error:
+            break
+        data = member.unused_data + data[k + (1 << 16) :]
     return b"".join(parts) if parts else data
 
 
 def parse(data: bytes):
-    """(headers in lower case, block) of each record."""
+    """(headers in lower case, block or None) of each record; None if its length is missing or cannot be right."""
     at = data.find(b"WARC/")
     while 0 <= at < len(data):
-        end = data.find(b"\r\n\r\n", at)
+        end = data.find(b"\r\n\r\n", at, at + HEAD_BYTES)
         if end < 0:
-            return
+            yield {}, None
+            at = data.find(b"WARC/", at + 5)
+            continue
         lines = data[at:end].split(CRLF)[1:]
-        headers = {k.strip().lower().decode(): v.strip().decode() for k, _, v in (x.partition(b":") for x in lines)}
+        headers = {}
+        for line in lines:
+            name, _, value = line.partition(b":")
+            try:
+                headers[name.strip().lower().decode()] = value.strip().decode()
+            except UnicodeDecodeError:
+                headers["damaged"] = "yes"
         start = end + 4
-        stop = start + int(headers["content-length"])
-        yield headers, data[start:stop]
-        at = data.find(b"WARC/", stop)
+        length = number(headers, "content-length")
+        stop = start + length if length is not None and length >= 0 else -1
+        # After its block a record ends with two line ends, and the next one or nothing follows.
+        fits = start <= stop <= len(data) and data[stop : stop + 4].startswith((b"\r\n\r\n", b"\r\n")[stop + 4 > len(data)])
+        fits = fits and data[stop + 4 : stop + 9] in (b"", b"WARC/")
+        yield headers, data[start:stop] if fits and "damaged" not in headers else None
+        at = data.find(b"WARC/", stop if fits else start)
+
+
+def number(headers: dict, name: str) -> int | None:
+    """A header's number, None if it is missing or no number."""
+    value = headers.get(name, "")
+    return int(value) if NUMBER.fullmatch(value) else None
+
+
+PART = ["origin", "segment", "total", "page_id", "kind", "refers_to", "stated", "block"]
+PART_TYPES = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.binary()]
+PAGE = ["page_id", "payload", "payload_digest", "record_type", "refers_to", "complete"]
+PAGE_TYPES = [pa.int64(), pa.binary(), pa.string(), pa.string(), pa.int64(), pa.bool_()]
+
+
+def batch_of(rows: list[tuple], names: list[str], types: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+
+
+def groups_of(data: bytes):
+    """(whether all of a record is here, its parts) for each record of an archive."""
+    loose: dict[str, list[tuple]] = {}
+    for h, block in parse(data):
+        kind = h.get("warc-type")
+        if kind not in KINDS and block is not None:
+            continue  # a record of another kind
+        wrong = [n for n in ("warc-segment-number", "warc-segment-total-length", "warc-page-id", "warc-refers-to-page-id") if n in h and number(h, n) is None]
+        origin = h.get("warc-segment-origin-id") or h.get("warc-record-id")
+        part = (
+            origin, number(h, "warc-segment-number") or 0, number(h, "warc-segment-total-length"), number(h, "warc-page-id"),
+            kind, number(h, "warc-refers-to-page-id"), h.get("warc-payload-digest", "").removeprefix("sha1:") or None, block,
+        )
+        if block is None or wrong or origin is None or (kind != "continuation" and "warc-segment-number" not in h):
+            yield True, [part if not wrong else (*part[:-1], None)]
+        else:
+            loose.setdefault(origin, []).append(part)
+    for parts in loose.values():
+        parts.sort(key=lambda p: p[1])
+        here = [p[1] for p in parts] == list(range(1, len(parts) + 1)) and parts[-1][2] is not None
+        yield here, parts
 
 
 def read_archives(spark: SparkSession, path: str, tasks: int | None = None) -> DataFrame:
     """(page_id, payload, payload_digest, record_type, refers_to, complete) of each page in the archives."""
 
-    def split(batches):
-        names = ["origin", "segment", "total", "page_id", "kind", "refers_to", "stated", "block"]
-        types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.binary()]
-        number = lambda x: None if x is None else int(x)
+    def whole(batches):
         for batch in batches:
             for data in batch.column(0):
                 rows, held = [], 0
-                for h, block in parse(unzipped(data.as_py())):
-                    kind = h.get("warc-type")
-                    if kind not in ("response", "revisit", "continuation"):
-                        continue
-                    rows.append((
-                        h.get("warc-segment-origin-id") or h["warc-record-id"], int(h.get("warc-segment-number", 0)),
-                        number(h.get("warc-segment-total-length")), number(h.get("warc-page-id")), kind,
-                        number(h.get("warc-refers-to-page-id")), h.get("warc-payload-digest", "").removeprefix("sha1:"),
-                        zlib.compress(block),
-                    ))
-                    held += len(block)
+                for here, parts in groups_of(unzipped(data.as_py())):
+                    if here:
+                        rows.append(assembled(parts))
+                        held += len(rows[-1][1] or b"")
                     if held > 4_000_000:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+                        yield batch_of(rows, PAGE, PAGE_TYPES)
                         rows, held = [], 0
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+                    yield batch_of(rows, PAGE, PAGE_TYPES)
+
+    def split(batches):
+        for batch in batches:
+            for data in batch.column(0):
+                rows = [part for here, parts in groups_of(unzipped(data.as_py())) if not here for part in parts]
+                if rows:
+                    yield batch_of(rows, PART, PART_TYPES)
 
     def join(batches):
         group: list[tuple] = []
@@ -199,40 +261,36 @@ def read_archives(spark: SparkSession, path: str, tasks: int | None = None) -> D
                 if group and group[0][0] != row[0]:
                     out.append(assembled(group))
                     group = []
-                group.append((*row[:-1], zlib.decompress(row[-1])))
+                group.append(row)
             if out:
-                yield batch_of(out)
+                yield batch_of(out, PAGE, PAGE_TYPES)
         if group:
-            yield batch_of([assembled(group)])
-
-    def batch_of(rows):
-        types = [pa.int64(), pa.binary(), pa.string(), pa.string(), pa.int64(), pa.bool_()]
-        names = ["page_id", "payload", "payload_digest", "record_type", "refers_to", "complete"]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+            yield batch_of([assembled(group)], PAGE, PAGE_TYPES)
 
+    page = "page_id bigint, payload binary, payload_digest string, record_type string, refers_to bigint, complete boolean"
     schema = "origin string, segment bigint, total bigint, page_id bigint, kind string, refers_to bigint, stated string, block binary"
-    parts = spark.read.format("binaryFile").load(path).select("content").mapInArrow(split, schema)
+    content = spark.read.format("binaryFile").load(path).select("content")
+    parts = content.mapInArrow(split, schema)
     parts = parts.repartition(tasks, "origin") if tasks else parts.repartition("origin")
-    return parts.sortWithinPartitions("origin", "segment").mapInArrow(
-        join, "page_id bigint, payload binary, payload_digest string, record_type string, refers_to bigint, complete boolean"
-    )
+    return content.mapInArrow(whole, page).union(parts.sortWithinPartitions("origin", "segment").mapInArrow(join, page))
 
 
 def assembled(group: list[tuple]) -> tuple:
     """(page_id, payload, digest, record type, refers to, complete) of one record's segments, in their order."""
-    _, segment, _, page_id, kind, refers_to, stated, _ = group[0]
-    if kind == "revisit":
+    _, segment, _, page_id, kind, refers_to, stated, block = group[0]
+    if kind == "revisit" and block is not None:
         return page_id, None, stated, kind, refers_to, True
-    message = b"".join(g[7] for g in group)
-    if segment == 0:
-        whole = len(group) == 1 and kind == "response"
-    else:
-        numbers = [g[1] for g in group]
-        whole = kind == "response" and numbers == list(range(1, len(group) + 1)) and group[-1][2] == len(message)
     payload = None
-    if whole:
-        head, _, body = message.partition(b"\r\n\r\n")
-        payload = unchunked(body) if b"transfer-encoding: chunked" in head.lower() else body
+    if all(g[7] is not None for g in group):
+        message = b"".join(g[7] for g in group)
+        if segment == 0:
+            whole = len(group) == 1 and kind == "response"
+        else:
+            numbers = [g[1] for g in group]
+            whole = kind == "response" and numbers == list(range(1, len(group) + 1)) and group[-1][2] == len(message)
+        if whole:
+            head, _, body = message.partition(b"\r\n\r\n")
+            payload = unchunked(body) if b"transfer-encoding: chunked" in head.lower() else body
     if payload is None:
         return page_id, None, stated, kind, None, False
     return page_id, payload, digest(payload), kind, None, True
@@ -240,7 +298,11 @@ def assembled(group: list[tuple]) -> tuple:
 
 def page_records(found: DataFrame) -> DataFrame:
     """Digest columns of ``read_archives``; a revisit takes its length from the response that it refers to."""
-    rows = found.select("page_id", F.octet_length("payload").cast("bigint").alias("bytes"), "payload_digest", "record_type", "refers_to", "complete")
+    # Stored without payloads, as it is read twice.
+    rows = stored(
+        found.select("page_id", F.octet_length("payload").cast("bigint").alias("bytes"), "payload_digest", "record_type", "refers_to", "complete"),
+        "records",
+    )
     answers = rows.filter("record_type = 'response' and complete").select(F.col("page_id").alias("answer"), F.col("bytes").alias("answer_bytes"), F.col("payload_digest").alias("answer_digest")).distinct()
     return rows.join(
         answers, (F.col("refers_to") == F.col("answer")) & (F.col("payload_digest") == F.col("answer_digest")), "left"

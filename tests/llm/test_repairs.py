@@ -1,10 +1,12 @@
 """Copies, clashing columns, odd records and thresholds of the earlier text operators."""
 
+import gzip
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from delaykit.llm import common, importance
+from delaykit.llm import common, importance, warc
 from tests.conftest import SMALL
 from tests.llm.test_operators import odd
 
@@ -45,3 +47,72 @@ def test_importance_of_odd_rows_and_types(spark):
     assert importance.importance_resample(rows, rows.select("doc_id").filter("false")).count() == rows.count()
     named = rows.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id")))
     assert importance.importance_resample(named, named.select("doc_id"), 1.0).filter("kept").count() == rows.count()
+
+
+# --- archives --------------------------------------------------------------
+
+
+def archived(spark, tmp_path, data: bytes, name="one.warc"):
+    folder = tmp_path / f"raw-{name}"
+    folder.mkdir()
+    (folder / name).write_bytes(data)
+    return sorted((tuple(r) for r in warc.read_archives(spark, str(folder)).collect()), key=str)
+
+
+def response(page_id, body=b"hello", **more):
+    headers = {"WARC-Type": "response", "WARC-Record-ID": f"<urn:{page_id}>", "WARC-Page-ID": page_id, **more}
+    return warc.record(headers, warc.HEAD + warc.chunked(body)) + warc.CRLF
+
+
+def test_broken_records_do_not_end_the_read(spark, tmp_path):
+    good = lambda n: (n, b"hello", warc.digest(b"hello"), "response", None, True)
+    without = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Page-ID: 2\r\n\r\nblock\r\n\r\n"
+    length = lambda n, value: response(n).replace(b"Content-Length: ", b"Content-Length: " + value)
+    data = b"".join([
+        response(1), without, length(3, b"x"), response(4), length(5, b"9"), length(6, b"-"), response(7),
+        response(8, **{"WARC-Segment-Number": "one"}), response(9).replace(b"<urn:9>", b"<\xff\xfe>"),
+        response("ten"), b"WARC/1.1\r\nWARC-Type: warcinfo\r\nContent-Length: 2\r\n\r\nab\r\n\r\n", response(11),
+        response(12).replace(b"\r\n5\r\nhello", b"\r\n-5\r\nhello"),
+    ])
+    found = archived(spark, tmp_path, data)
+    complete = [r for r in found if r[5]]
+    assert complete == [good(n) for n in (1, 11, 4, 7)]
+    broken = [r for r in found if not r[5]]
+    assert all(r[1] is None and r[4] is None for r in broken)
+    assert sorted(str(r[0]) for r in broken) == sorted(["2", "3", "5", "6", "8", "9", "None", "12"])
+    assert archived(spark, tmp_path, data[: len(response(1)) - 9], "cut.warc") == [(1, None, None, "response", None, False)]
+    assert archived(spark, tmp_path, b"no records at all", "none.warc") == []
+    members = gzip.compress(response(1)) + gzip.compress(response(2))
+    assert archived(spark, tmp_path, members, "two.warc.gz") == [good(1), good(2)]
+    assert archived(spark, tmp_path, members[:-30], "damaged.warc.gz")[0] == good(1)
+    assert warc.unzipped(gzip.compress(b"x" * 200_000) + gzip.compress(b"y")) == b"x" * 200_000 + b"y"
+
+
+@pytest.mark.parametrize("archive_bytes", [1, 40_000])
+def test_segments_over_many_archives(spark, tmp_path, archive_bytes):
+    rows = [(k, f"http://{k}", "<p>" + f"{k} WARC/1.1\r\n\r\n é" * (37 * k % 211)) for k in range(60)]
+    rows += [(100 + k, "u", rows[7][2]) for k in range(50)]  # many copies of one payload
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    for name in ("payload", "row_id", "sha", "bytes", "first", "record"):
+        pages = pages.withColumn(name, F.lit("x"))
+    path = str(tmp_path / "w")
+    warc.write_archives(pages, path, segment=300, archive_bytes=archive_bytes)
+    found = warc.read_archives(spark, path, tasks=3)
+    assert found.count() == len(rows) and found.filter("not complete").count() == 0
+    text = {r[0]: r[2] for r in rows}
+    for r in found.collect():
+        assert (r.record_type == "revisit" and r.refers_to == 7) if r.page_id >= 100 else r.payload.decode() == text[r.page_id]
+    sizes = {r.page_id: (r.payload_bytes, r.payload_digest) for r in warc.page_records(found).collect()}
+    assert sizes == {k: (len(t.encode()), warc.digest(t.encode())) for k, t in text.items()}
+
+
+def test_parts_of_one_page_in_unlike_archives(spark, tmp_path):
+    folder = tmp_path / "apart"
+    folder.mkdir()
+    parts = list(warc.records_of(5, 5, None, b"abc" * 500, "D", None, 200))
+    for k, part in enumerate(reversed(parts)):
+        (folder / f"{k:03d}.warc").write_bytes(part + warc.CRLF)
+    (folder / "x.warc").write_bytes(b"".join(p + warc.CRLF for p in list(warc.records_of(6, 6, None, b"z" * 999, "D", None, 200))[:-1]))
+    rows = {r.page_id: r for r in warc.read_archives(spark, str(folder)).collect()}
+    assert rows[5].payload == b"abc" * 500 and rows[5].complete
+    assert rows[6].payload is None and not rows[6].complete and len(rows) == 2
