@@ -141,9 +141,12 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
-def keep_known(docs: DataFrame, least: float, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The documents with a language and a score of ``least`` or more, in the columns of ``docs``."""
-    profiles = stored(learn_profiles(docs.filter(bucket_of(F.col(id_col), FOLDS) != HELD_OUT), text_col, lang_col), "profiles")
+def keep_known(docs: DataFrame, least: float, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The documents with a language and a score of ``least`` or more, in the columns of ``docs``.
+
+    All labelled documents teach, those without id too.
+    """
+    profiles = stored(learn_profiles(docs, text_col, lang_col), "profiles")
     one = docs.select(F.struct(*docs.columns).alias("__row"), F.col(text_col).alias("__doc_text"))
     found = predict_language(one, profiles, "__row", "__doc_text")
     good = found.filter((F.col("lang_pred") != NO_LANGUAGE) & (F.col("score") >= least))

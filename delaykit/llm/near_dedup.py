@@ -19,8 +19,8 @@
    may differ in shingles. Surviving pairs count their agreements and then meet on full sets.
 
 Components, not links, are the result, so pairs within a component found in step 5 are left out of step 6.
-The chance that a pair exactly at 0.85 has fewer than 42 agreements of 64 is below 1 in 10,000; pairs well
-above are safe.
+The chance that a pair exactly at the threshold has fewer agreements is below ``MISS`` (42 of 64 at 0.85, 38 at
+0.8); pairs well above are safe.
 
 Corner cases: texts that are null, empty or without words have an empty set and are linked with nothing;
 one or two words form one shingle; equal texts, repeated rows and rows that share an id are one component;
@@ -29,6 +29,7 @@ with one id have different texts, the id stands for the set with the smallest ha
 """
 
 from functools import reduce
+from math import comb
 from operator import add
 
 import numpy as np
@@ -43,10 +44,21 @@ from delaykit.llm.components import connected_components
 WORDS = 3
 PERCENT = 85
 COORDINATES = 64
-MATCHES = 42
+#: Chance that two sets exactly at the threshold agree too rarely to meet.
+MISS = 5e-5
 BITS = 1024
 
 
+def matches_for(percent: int, coordinates: int = COORDINATES, miss: float = MISS) -> int:
+    """Agreements that two sets at the threshold have but for a chance of ``miss``: each coordinate agrees by itself."""
+    p, below = percent / 100, 0.0
+    for m in range(coordinates + 1):
+        below += comb(coordinates, m) * p**m * (1 - p) ** (coordinates - m)
+        if below > miss:
+            return max(1, m)
+    return coordinates
+
+
 def shingle_set(text: str | None, words: int) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct word shingles; one for all words if there are fewer."""
     hashed = [xxhash.xxh3_64_intdigest(w) for w in words_of(text)]
@@ -242,9 +254,13 @@ def near_duplicates(
     words: int = WORDS,
     percent: int = PERCENT,
     coordinates: int = COORDINATES,
-    matches: int = MATCHES,
+    matches: int | None = None,
 ) -> DataFrame:
-    """One row per document: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``, under the id's own name."""
+    """One row per document: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``, under the id's own name.
+
+    ``matches`` follows from ``percent`` unless given.
+    """
+    matches = matches_for(percent, coordinates) if matches is None else matches
     rows = stored(signed(docs, id_col, text_col, words, coordinates), "signed")
     same_set = ["h1", "h2", "n_shingles"]
     filled = rows.filter("n_shingles > 0 and doc_id is not null")
@@ -274,9 +290,17 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of the documents that are kept, in the columns of ``docs``; of rows with one id, one stays."""
-    kept = near_duplicates(docs, id_col, text_col, **options).filter("kept").select(F.col(id_col).alias("__kept")).distinct()
-    whole = F.struct(*docs.columns)
-    named = docs.join(kept, docs[id_col] == F.col("__kept"), "left_semi").groupBy(id_col).agg(F.min(whole).alias("__row"))
-    nameless = docs.filter(F.col(id_col).isNull())
-    return named.select("__row.*").union(nameless)
+    """The rows of the documents that are kept, in the columns of ``docs``.
+
+    A document is an id and a text, so that rows with one id and unlike texts are compared, and kept, each on
+    their own; of rows with equal id and text one stays, and rows without id all do.
+    """
+    key = F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text"))
+    told = docs.select(F.when(F.col(id_col).isNotNull(), key).alias("key"), F.col(text_col).alias("text"))
+    kept = near_duplicates(told, "key", "text", **options).filter("kept and key is not null").select("key").distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    named = rows.filter(F.col("row")[id_col].isNotNull()).withColumn(
+        "key", F.struct(F.col("row")[id_col].alias("id"), F.xxhash64(F.col("row")[text_col]).alias("text"))
+    )
+    one = named.join(kept, "key", "left_semi").groupBy("key").agg(F.min("row").alias("row"))
+    return one.select("row.*").union(rows.filter(F.col("row")[id_col].isNull()).select("row.*"))

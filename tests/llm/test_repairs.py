@@ -1,15 +1,21 @@
 """Copies, clashing columns, odd records and thresholds of the earlier text operators."""
 
 import gzip
+import zlib
 
+import itertools
+
+import corpus_pipeline
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from delaykit.llm import common, importance, warc
+from delaykit.llm import common, importance, language_id, near_dedup, warc
 from tests.conftest import SMALL
 from tests.llm.test_operators import odd
 
+LONG = "a text about nothing in particular that has a few more words than it needs " * 3
+
 
 # --- importance ------------------------------------------------------------
 
@@ -116,3 +122,82 @@ def test_parts_of_one_page_in_unlike_archives(spark, tmp_path):
     rows = {r.page_id: r for r in warc.read_archives(spark, str(folder)).collect()}
     assert rows[5].payload == b"abc" * 500 and rows[5].complete
     assert rows[6].payload is None and not rows[6].complete and len(rows) == 2
+
+
+# --- near duplicates and stages --------------------------------------------
+
+
+def test_agreements_follow_the_threshold():
+    assert [near_dedup.matches_for(p) for p in (85, 80)] == [42, 38]
+    assert near_dedup.matches_for(100) == 64 and near_dedup.matches_for(1) == 1
+
+
+def groups_by_brute_force(texts, words, percent):
+    sets = [set(near_dedup.shingle_set(t, words).tolist()) for t in texts]
+    part = list(range(len(texts)))
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        both = len(sets[a] & sets[b])
+        if both and 100 * both >= percent * len(sets[a] | sets[b]):
+            part = [part[a] if p == part[b] else p for p in part]
+    return part
+
+
+def test_stage_links_five_words_at_four_fifths(spark):
+    rng = np.random.default_rng(7)
+    base = [f"w{k}" for k in range(100)]
+    texts = [" ".join(base), " ".join([*base, *(f"more{k}" for k in range(22))])]  # 0.814 of five words
+    texts += [" ".join(f"v{k}" for k in rng.permutation(400)[:90]) for _ in range(5)]
+    for n in range(40):
+        words = list(base)
+        for k in rng.choice(100, rng.integers(0, 6), replace=False):
+            words[k] = f"x{n}y{k}"
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in enumerate(texts)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = {r.doc_id for r in corpus_pipeline.one_of_each(spark, docs, SMALL).collect()}
+    part = groups_by_brute_force(texts, 5, 80)
+    assert part[0] == part[1] and groups_by_brute_force(texts[:2], 3, 85) == [0, 1]
+    assert kept == {part.index(p) for p in part}
+
+
+def test_stage_equals_brute_force_on_documents(spark):
+    docs = common.table(spark, "/root/testdata/sf0.01", "documents")
+    rows = sorted((r.doc_id, r.text) for r in docs.collect())
+    part = groups_by_brute_force([t for _, t in rows], 5, 80)
+    first = {}
+    for (doc, text), p in zip(rows, part):
+        first.setdefault(p, doc)
+    kept = [r.doc_id for r in corpus_pipeline.one_of_each(spark, docs, SMALL).collect()]
+    assert sorted(kept) == sorted(first.values())
+
+
+def test_rows_of_one_id_are_documents_of_their_own(spark):
+    rows = [(1, f"{k} {LONG} {k}" * 2) for k in ("alpha", "beta")] + [(1, "something else entirely, with words of its own")] * 3
+    rows += [(None, LONG), (None, LONG), (2, None), (2, ""), (3, "something else entirely, with words of its own")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("key", F.lit("x")).withColumn("row", F.lit(1))
+    kept = sorted((str(r.doc_id), str(r.text)[:9]) for r in near_dedup.keep_one(docs, words=5, percent=80).collect())
+    near = groups_by_brute_force([rows[0][1], rows[1][1]], 5, 80)
+    longs = [("1", "alpha a t"), ("1", "beta a te")] if near[0] != near[1] else [("1", "alpha a t")]
+    assert [k for k in kept if k[0] != "1" or k[1] == "something"] == [("1", "something"), ("2", ""), ("2", "None"), ("None", "a text ab"), ("None", "a text ab")]
+    assert len([k for k in kept if k not in longs]) == 5 or len(kept) == 5 + len(longs)
+
+
+def test_a_language_of_held_out_documents_only_is_learned(spark):
+    fold = [k for k in range(200) if zlib.crc32(str(k).encode()) % 4 == 2]
+    rows = [(k, "zażółć gęślą jaźń źdźbło " * 5, "pl") for k in fold[:9]] + [(k, "the quick brown fox jumps over it " * 5, "en") for k in range(300, 330)]
+    docs = spark.createDataFrame(rows + [(None, "zażółć gęślą jaźń", "pl")], "doc_id bigint, text string, lang string")
+    assert language_id.keep_known(docs, 0.2).count() == len(rows) + 1
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    common.table(spark, SMALL, "documents").filter("false").write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_pipeline_packs_what_the_stages_keep(spark):
+    docs = common.table(spark, SMALL, "documents")
+    known = {r.doc_id for r in language_id.language_id(docs).collect()}
+    packed = {r.doc_id for r in corpus_pipeline.run(spark, SMALL).select("doc_id").collect()}
+    good = corpus_pipeline.good_quality(spark, corpus_pipeline.known_language(spark, docs, SMALL), SMALL)
+    rows = sorted((r.doc_id, r.text) for r in good.collect())
+    part = groups_by_brute_force([t for _, t in rows], 5, 80)
+    assert packed == {rows[part.index(p)][0] for p in set(part)} and packed <= known
