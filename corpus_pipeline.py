@@ -19,6 +19,8 @@ from delaykit.llm.quality_rules import keep_good  # noqa: E402
 
 #: Texts whose n-grams lie this far from every profile are in none of the languages.
 LEAST_LANGUAGE_SCORE = 0.2
+#: Near duplicates share so many per cent of their shingles of so many words.
+DUPLICATE_WORDS, DUPLICATE_PERCENT = 5, 80
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +35,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the first document of each group of near duplicates."""
-    return keep_one(docs)
+    return keep_one(docs, words=DUPLICATE_WORDS, percent=DUPLICATE_PERCENT)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +49,7 @@ STAGES = [
     ("near_dedup", one_of_each),
     ("packing", packed),
 ]
-#: SQL can state neither rank-order profiles nor tokens; tests compare with brute force.
+#: SQL can state neither rank-order profiles nor tokens; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
