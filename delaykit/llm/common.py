@@ -1,7 +1,5 @@
 """Helpers shared by the text operators."""
 
-import math
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,13 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """``df`` written below the shared working folder and read back.
 
     Cuts the lineage: a lost executor costs a read of files, not the work before.
     """
     path = f"{new_work_dir(df.sparkSession)}/{name}"
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -47,11 +45,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-def groups_for(df: DataFrame, rows: int) -> int:
-    """Number of groups of about ``rows`` rows each, from the size of the input."""
-    return max(1, math.ceil(df.count() / rows))
-
-
 def words_of(text: str | None) -> list[bytes]:
     """Words of a text, A-Z lower-cased; white space is that of ``SPACE``."""
     return text.encode().lower().split() if text else []

@@ -6,9 +6,11 @@ seen is the escape's count), where the bytes already ruled out are excluded from
 bytes are also bytes of its suffix, the excluded mass is one sum per context, so that every probability
 comes from joins and sums over the counts; no task ever holds the whole trie.
 
-Documents are dealt into blocks of about ``BLOCK_ROWS``. A block gives its own distinct n-grams and words
-with their training counts; the counts are summed over all blocks and the results sent back to the blocks
-that asked. What moves is the vocabulary of each block, not its tokens, and it grows with the input.
+Each task cuts the documents it reads into blocks of about ``BLOCK_BYTES`` of text, so that no key, and no
+number of copies, makes a block larger. A block gives its own distinct n-grams and words with their training
+counts, and its texts, compressed; the counts are summed over all blocks and the results sent back to the
+blocks that asked, where they meet the texts. What moves is the vocabulary of each block, which grows with the
+input, and the texts once.
 
 A text is scored as its words in order, A-Z lower-cased, joined by single spaces and followed by an end
 byte, so that both scores are of the same tokens.
@@ -23,13 +25,17 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaykit.llm.common import bucket_of, groups_for, stored, words_of
+from delaykit.llm.common import bucket_of, stored, words_of
 
 ORDER = 4
-BLOCK_ROWS = 2000
+BLOCK_BYTES = 32 * 1024**2
+#: Of the tables of counts, which are long and written once.
+CODEC = "zstd"
 FOLDS, HELD_OUT = 10, 0
 #: Bytes that UTF-8 never uses: before the beginning, and after the end of a text.
 START, END = 0xFE, 0xFF
@@ -52,10 +58,31 @@ def gram_codes(words: list[bytes], order: int) -> np.ndarray:
     return codes
 
 
-def block_terms(docs: DataFrame, order: int) -> DataFrame:
-    """(block, word, gram, n): the distinct words and n-grams of each block; n counts training documents."""
+def block_terms(docs: DataFrame, order: int, block_bytes: int) -> DataFrame:
+    """(block, word, gram, n, docs): the distinct words and n-grams of each block, and its documents as one value.
 
-    def run(table: pa.Table) -> pa.Table:
+    ``docs`` has (id, text, train, held_out); n counts training documents.
+    """
+
+    def run(batches):
+        first, made = TaskContext.get().partitionId() << 32, 0
+        parts: list[pa.RecordBatch] = []
+        held = 0
+        for batch in batches:
+            start = 0
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+            for k, size in enumerate(sizes.tolist()):
+                held += size
+                if held >= block_bytes:
+                    yield from block_rows(first + made, [*parts, batch.slice(start, k + 1 - start)])
+                    parts, held, start, made = [], 0, k + 1, made + 1
+            if start < batch.num_rows:
+                parts.append(batch.slice(start))
+        if parts:
+            yield from block_rows(first + made, parts)
+
+    def block_rows(block: int, parts: list[pa.RecordBatch]):
+        table = pa.Table.from_batches(parts)
         words: Counter = Counter()
         seen: set[bytes] = set()
         grams: list[tuple[np.ndarray, np.ndarray]] = []
@@ -63,11 +90,19 @@ def block_terms(docs: DataFrame, order: int) -> DataFrame:
         pending = 0
 
         def fold():
-            for train, parts in held.items():
-                if parts:
-                    codes, counts = np.unique(np.concatenate(parts), return_counts=True)
-                    grams.append((codes, counts if train else np.zeros_like(counts)))
-                    parts.clear()
+            for train, codes in held.items():
+                if codes:
+                    found, counts = np.unique(np.concatenate(codes), return_counts=True)
+                    grams.append((found, counts if train else np.zeros_like(counts)))
+                    codes.clear()
+            if sum(len(found) for found, _ in grams) > 4 * PART:
+                merge()
+
+        def merge():
+            if grams:
+                found, at = np.unique(np.concatenate([g[0] for g in grams]), return_inverse=True)
+                sums = np.bincount(at, np.concatenate([g[1] for g in grams]).astype(np.float64)).astype(np.int64)
+                grams[:] = [(found, sums)]
 
         for text, train in zip(table["text"].to_pylist(), table["train"].to_pylist()):
             own = words_of(text)
@@ -84,30 +119,48 @@ def block_terms(docs: DataFrame, order: int) -> DataFrame:
                 fold()
                 pending = 0
         fold()
-        codes, at = np.unique(np.concatenate([g[0] for g in grams]), return_inverse=True)
-        sums = np.bincount(at, np.concatenate([g[1] for g in grams]).astype(np.float64)).astype(np.int64)
+        merge()
+        codes, sums = grams[0]
         listed = [*words, *(seen - words.keys())]
-        block = table["block"][0].as_py()
-        return pa.table({
-            "block": pa.array([block] * (len(listed) + len(codes)), pa.int64()),
-            "word": pa.array([*listed, *[None] * len(codes)], pa.binary()),
-            "gram": pa.concat_arrays([pa.nulls(len(listed), pa.int64()), pa.array(codes)]),
-            "n": pa.concat_arrays([pa.array([words.get(w, 0) for w in listed], pa.int64()), pa.array(sums)]),
-        })
+        yield batch_of(block, word=listed, n=[words.get(w, 0) for w in listed])
+        for k in range(0, len(codes), PART):
+            yield batch_of(block, gram=codes[k : k + PART], n=sums[k : k + PART])
+        yield batch_of(block, docs=[packed(table.select(["id", "text", "held_out"]))])
+
+    def batch_of(block: int, **given) -> pa.RecordBatch:
+        size = len(next(iter(given.values())))
+        kinds = {"word": pa.binary(), "gram": pa.int64(), "n": pa.int64(), "docs": pa.binary()}
+        columns = {"block": pa.array([block] * size, pa.int64())}
+        for name, kind in kinds.items():
+            columns[name] = pa.array(given[name], kind) if name in given else pa.nulls(size, kind)
+        return pa.RecordBatch.from_pydict(columns)
+
+    return docs.mapInArrow(run, "block bigint, word binary, gram bigint, n bigint, docs binary")
+
+
+def packed(table: pa.Table) -> bytes:
+    """A table as compressed bytes."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_table(table.combine_chunks())
+    return sink.getvalue().to_pybytes()
+
 
-    return docs.groupBy("block").applyInArrow(run, "block bigint, word binary, gram bigint, n bigint")
+def unpacked(data) -> pa.Table:
+    return pa.ipc.open_stream(data.as_buffer()).read_all()
 
 
 def ppm_log10(grams: DataFrame, order: int) -> DataFrame:
     """(gram, value): log10 probability of the last byte of each gram after its context.
 
-    ``grams`` has (gram, n) for every gram to be scored, n being 0 where training did not see it.
+    ``grams`` has (gram, n) for every gram to be scored, n being 0 where training did not see it. It is read
+    several times, so it should be stored.
     """
     counts = [None] * (order + 1)
-    counts[order] = stored(grams.filter("n > 0"), "grams")
+    counts[order] = grams.filter("n > 0")
     for k in range(order - 1, -1, -1):
         shorter = F.col("gram").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1))
-        counts[k] = stored(counts[k + 1].groupBy(shorter.alias("gram")).agg(F.sum("n").alias("n")), "grams")
+        counts[k] = stored(counts[k + 1].groupBy(shorter.alias("gram")).agg(F.sum("n").alias("n")), "grams", CODEC)
     rows = grams.select("gram", F.lit(0.0).alias("value"), F.lit(False).alias("found"), F.lit(0).cast("bigint").alias("mass"), F.lit(0).cast("bigint").alias("kinds"))
     for k in range(order, -1, -1):
         # Of each context: its count, its distinct bytes, and the count of these bytes one context shorter.
@@ -148,29 +201,26 @@ def ppm_log10(grams: DataFrame, order: int) -> DataFrame:
 
 
 def score_documents(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, block_rows: int = BLOCK_ROWS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """id, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``, ``n_bytes``.
 
     Training documents are those whose CRC-32 of the id modulo 10 is not 0.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    blocks = groups_for(docs.select(id_col), block_rows)
     fold = bucket_of(F.col(id_col), FOLDS)
-    block = F.pmod(F.xxhash64(F.col(id_col), F.length(text_col)), F.lit(blocks)).cast("bigint")
     rows = docs.select(
         F.col(id_col).alias("id"),
         F.col(text_col).alias("text"),
         F.coalesce(fold != HELD_OUT, F.lit(False)).alias("train"),
         F.coalesce(fold == HELD_OUT, F.lit(False)).alias("held_out"),
-        block.alias("block"),
     )
-    terms = stored(block_terms(rows.select("text", "train", "block"), order), "terms")
+    terms = stored(block_terms(rows, order, block_bytes), "terms", CODEC)
     words = terms.filter("word is not null").select("block", "word", "n")
-    counts = stored(words.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    counts = stored(words.groupBy("word").agg(F.sum("n").alias("n")), "words", CODEC)
     total, distinct = counts.filter("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     grams = terms.filter("gram is not null").groupBy("gram").agg(F.sum("n").alias("n"))
-    values = stored(ppm_log10(stored(grams, "grams"), order), "values")
+    values = stored(ppm_log10(stored(grams, "grams", CODEC), order), "values", CODEC)
     answers = (
         words.select("block", "word")
         .join(counts, "word")
@@ -182,7 +232,8 @@ def score_documents(
     )
     divisor = total + 0.1 * (distinct + 1)
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+    def run(blocks: pa.Table, right: pa.Table) -> pa.Table:
+        left = pa.concat_tables([unpacked(data) for data in blocks["docs"]])
         is_word = right["word"].is_valid()
         chosen = right.filter(is_word)
         base = {
@@ -209,8 +260,9 @@ def score_documents(
             "n_bytes": pa.array(out["n_bytes"], pa.int64()),
         })
 
+    blocks = terms.filter("docs is not null").select(F.col("block").alias("place"), "docs")
     scored = (
-        rows.select("block", "id", "text", "held_out").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        blocks.groupBy("place").cogroup(answers.groupBy("block")).applyInArrow(
             run,
             f"id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double,"
             " score double, n_bytes bigint",

@@ -163,7 +163,7 @@ def test_scores_are_those_of_brute_force(spark):
     docs = documents(spark).filter("doc_id < 60")
     texts = {k: t[:600] for k, t in texts_of(docs).items()}
     docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
-    rows = {r.doc_id: r for r in lm_scoring.score_documents(docs, block_rows=9).collect()}
+    rows = {r.doc_id: r for r in lm_scoring.score_documents(docs, block_bytes=9000).collect()}
     training = [t for k, t in texts.items() if zlib.crc32(str(k).encode()) % 10]
     tokens = collections.Counter(w for t in training for w in [*common.words_of(t), b""])
     total = sum(tokens.values())

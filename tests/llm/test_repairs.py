@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from delaykit.llm import common, importance, language_id, near_dedup, warc
+from delaykit.llm import common, importance, language_id, lm_scoring, near_dedup, warc
 from tests.conftest import SMALL
 from tests.llm.test_operators import odd
 
@@ -201,3 +201,23 @@ def test_pipeline_packs_what_the_stages_keep(spark):
     rows = sorted((r.doc_id, r.text) for r in good.collect())
     part = groups_by_brute_force([t for _, t in rows], 5, 80)
     assert packed == {rows[part.index(p)][0] for p in set(part)} and packed <= known
+
+
+# --- language model scores -------------------------------------------------
+
+
+def test_scores_do_not_depend_on_the_blocks(spark):
+    docs = common.table(spark, SMALL, "documents").select("doc_id", "text").filter("doc_id < 60")
+    copies = spark.range(40).select(F.lit(5).cast("bigint").alias("doc_id"), F.lit("copies of one row, a third of all").alias("text"))
+    rows = docs.union(copies).withColumn("block", F.lit("x")).withColumn("word", F.lit("y")).withColumn("id", F.lit(1))
+    found = [
+        sorted((tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in lm_scoring.score_documents(rows, block_bytes=size).collect()), key=str)
+        for size in (1, 20_000, 10**9)
+    ]
+    assert len(found[0]) == 100 and found[0] == found[1] == found[2]
+
+
+def test_blocks_are_cut_by_bytes(spark):
+    rows = spark.range(300).select(F.lit(1).alias("id"), F.repeat(F.lit("ab "), 100).alias("text"), F.lit(True).alias("train"), F.lit(False).alias("held_out"))
+    terms = lm_scoring.block_terms(rows.coalesce(1), 2, 3000).filter("docs is not null").collect()
+    assert len(terms) == 30 and len({r.block for r in terms}) == 30
