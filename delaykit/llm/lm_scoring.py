@@ -95,7 +95,7 @@ def block_terms(docs: DataFrame, order: int, block_bytes: int) -> DataFrame:
                     found, counts = np.unique(np.concatenate(codes), return_counts=True)
                     grams.append((found, counts if train else np.zeros_like(counts)))
                     codes.clear()
-            if sum(len(found) for found, _ in grams) > 4 * PART:
+            if sum(len(found) for found, _ in grams) > 2 * PART:
                 merge()
 
         def merge():
