@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaykit.llm.common import table
+from delaykit.llm.common import stored, table
+from delaykit.operators.numbering import numbered
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -149,20 +150,21 @@ def op4_sentence_pieces(spark, sf_dir):
     return encode_digests(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
-def mailed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The turns of ``conversations`` as mails: each quotes the two turns before it, the older one twice over.
+def mailed(turns: DataFrame) -> DataFrame:
+    """Turns of conversations as mails: each quotes the two turns before it, the older one twice over.
 
-    A turn whose number is divisible by 3 quotes the one before it alone.
+    A turn whose number is divisible by 3 quotes the one before it alone. Mails are numbered in the order of
+    conversation and turn. Of several rows of one turn each is a mail, and the first by role and text is quoted.
     """
-    turns = table(spark, sf_dir, "conversations")
-    id_of = F.col("conv_id") * 1000 + F.col("turn")
-    marked = lambda text: F.regexp_replace(text, r"(?m)^", "> ")
     own = turns.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    one = stored(own.groupBy("conv_id", "turn").agg(F.min(F.struct("role", "text")).alias("first")), "turns")
+    marked = lambda text: F.regexp_replace(text, r"(?m)^", "> ")
 
     def before(n: int) -> DataFrame:
-        return own.select("conv_id", (F.col("turn") + n).alias("turn"), F.col("text").alias(f"text_{n}"))
+        return one.select("conv_id", (F.col("turn") + n).alias("turn"), F.col("first.text").alias(f"text_{n}"))
 
-    first = own.join(before(1), ["conv_id", "turn"], "left").join(before(2), ["conv_id", "turn"], "left")
+    mails = numbered(own, ["conv_id", "turn", "role", "text"], "message_id")
+    first = mails.join(before(1), ["conv_id", "turn"], "left").join(before(2), ["conv_id", "turn"], "left")
     # What the message before looked like, without what it quoted from further back.
     above = F.when(
         F.col("text_2").isNotNull() & (F.col("turn") % 3 != 0), F.concat(marked(F.col("text_2")), F.lit("\n"), F.col("text_1"))
@@ -170,14 +172,14 @@ def mailed(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.when(
         F.col("text_1").isNotNull(), F.concat(F.lit("On Monday somebody wrote:\n"), marked(above), F.lit("\n"), F.col("text"))
     ).otherwise(F.col("text"))
-    return first.select(id_of.alias("message_id"), "role", body.alias("text"))
+    return first.select("message_id", "role", body.alias("text"))
 
 
 @query()
 def op5_chat_quotes(spark, sf_dir):
     from delaykit.llm.chat_quotes import conversations
 
-    return conversations(mailed(spark, sf_dir))
+    return conversations(mailed(table(spark, sf_dir, "conversations")))
 
 
 @query()

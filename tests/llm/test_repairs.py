@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from delaykit.llm import common, importance, language_id, lm_scoring, near_dedup, warc
+from delaykit.llm.queries import mailed
 from tests.conftest import SMALL
 from tests.llm.test_operators import odd
 
@@ -221,3 +222,17 @@ def test_blocks_are_cut_by_bytes(spark):
     rows = spark.range(300).select(F.lit(1).alias("id"), F.repeat(F.lit("ab "), 100).alias("text"), F.lit(True).alias("train"), F.lit(False).alias("held_out"))
     terms = lm_scoring.block_terms(rows.coalesce(1), 2, 3000).filter("docs is not null").collect()
     assert len(terms) == 30 and len({r.block for r in terms}) == 30
+
+
+# --- mails -----------------------------------------------------------------
+
+
+def test_mails_of_long_conversations_and_copies(spark):
+    rows = [(1, t, "user", f"one {t}") for t in range(1005)] + [(2, t, "user", f"two {t}") for t in range(4)]
+    rows += [(3, 0, "a", "x"), (3, 0, "a", "x"), (3, 0, "b", "z"), (3, 1, "a", "y"), (3, 1, "a", "y"), (3, 2, None, None), (None, 0, "a", "n")]
+    mails = mailed(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")).collect()
+    assert len(mails) == len(rows) and sorted(m.message_id for m in mails) == list(range(len(rows)))
+    texts = sorted(m.text for m in mails)
+    assert texts.count("On Monday somebody wrote:\n> x\ny") == 2
+    assert "On Monday somebody wrote:\n> > one 1002\n> one 1003\none 1004" in texts
+    assert "On Monday somebody wrote:\n> > x\n> y\n" in texts
