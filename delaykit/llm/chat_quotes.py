@@ -156,12 +156,13 @@ def conversations(messages: DataFrame, id_col: str = "message_id", role_col: str
             F.col("id").alias("above"), F.col("up").alias("further"), F.col("root").alias("above_root"),
             F.col("path").alias("above_path"), F.col("depth").alias("above_depth"),
         )
+        # Those that have reached their root wait, and are joined no more.
         paths = stored(
-            paths.join(above, F.col("up") == F.col("above"), "left").select(
+            paths.filter("up is null").unionByName(paths.filter("up is not null").join(above, F.col("up") == F.col("above"), "left").select(
                 "id", "parent", F.col("further").alias("up"), F.coalesce("above_root", "root").alias("root"),
                 F.when(F.col("above").isNotNull(), F.concat_ws("/", "above_path", "path")).otherwise(F.col("path")).alias("path"),
                 (F.col("depth") + F.coalesce(F.col("above_depth") + 1, F.lit(0))).alias("depth"),
-            ),
+            )),
             "paths",
         )
     return parsed.join(paths, "id", "left").select(
