@@ -2,10 +2,12 @@
 
 A text is first normalised by the model's compiled character map: at each place the longest entry of the
 map that matches is replaced, white space becomes the piece mark, and every byte of the result keeps the
-place of the text it came from. Ids are found for one word of the normalised text at a time, as no piece
-of such a model crosses a mark or a line feed, and words come back often; the library encodes each word that
-is not at hand, and whole texts for which words are not safe. Laying the pieces end to end over the
-normalised text gives their spans, which the alignment takes back to the original bytes.
+place of the text it came from. The normalised text is cut into words, where no piece can cross the cut
+(before marks and around line feeds), and each word's characters are merged pair by pair, the pair that makes
+the best piece first, as far as pieces go; what is no piece becomes bytes. Words come back often, so the ids
+of short ones are kept. Laying the pieces end to end over the normalised text gives their spans, which the
+alignment takes back to the original bytes. Models whose pieces are not found by merging pairs, or that
+have pieces set by the user, unused pieces or no byte pieces, get their ids from the library.
 
 Everything is worked out within a row; a worker holds the model and at most ``CACHED`` words.
 
@@ -14,7 +16,9 @@ give equal rows; an empty table gives none; other columns are not read.
 """
 
 import hashlib
+import re
 import zlib
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +27,10 @@ from pyspark.sql import DataFrame
 MARK = "▁"
 CACHED = 200_000
 LONGEST_CACHED = 48
+#: Numbers of the model file's format: kinds of pieces and of models.
+NORMAL, USER_DEFINED, UNUSED = 1, 4, 5
+PAIR_MERGES = 2
+WORDS = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -131,16 +139,19 @@ class Normaliser:
             for k in range(len(piece)):
                 pending.append((piece[k : k + 1], at))
             at += length
-        if self.squeeze:
-            while pending and pending[-1][0] == b" ":
-                pending.pop()
+        end = len(data)
+        while self.squeeze and pending:  # a text ends before the white space that closes it
+            last = 1 if pending[-1][0] == b" " else len(mark) if b"".join(b for b, _ in pending[-len(mark) :]) == mark else 0
+            if not last:
+                break
+            end = pending[-last][1]
+            del pending[-last:]
         for byte, place in pending:
             if not started and self.prefix:
                 put(mark, place)
             started = True
             put(mark if byte == b" " else byte, place)
-        end = pending[-1][1] if pending else 0
-        return b"".join(parts), np.array([*places, len(data) if pending else end], np.int64)
+        return b"".join(parts), np.array([*places, end if pending else 0], np.int64)
 
     def _widened(self, data: bytes, mark: bytes) -> tuple[bytes, np.ndarray]:
         lead = mark if self.prefix else b""
@@ -161,60 +172,78 @@ class PieceEncoder:
         pieces = [self.library.id_to_piece(i) for i in range(n)]
         special = [self.library.is_byte(i) or self.library.is_control(i) or self.library.is_unknown(i) for i in range(n)]
         self.width = np.array([1 if self.library.is_byte(i) else len(p.encode()) for i, p in enumerate(pieces)], np.int64)
-        plain = [p for p, s in zip(pieces, special) if not s]
-        kinds = [message_fields(p).get(3, [1])[0] for p in fields[1]]
-        #: Words may be taken alone: marks only lead pieces, line feeds are bytes, nothing is set by the user.
-        self.by_word = (
-            self.normaliser.prefix
-            and self.normaliser.marks
-            and not self.normaliser.map.units
-            and not self.normaliser.squeeze
-            and all(p.rfind(MARK) <= 0 or not p.strip(MARK) for p in plain)
-            and not any("\n" in p for p in plain)
-            and 4 not in kinds
+        specs = [message_fields(p) for p in fields[1]]
+        kinds = [spec.get(3, [NORMAL])[0] for spec in specs]
+        trainer = message_fields(fields[2][0])
+        #: Score and id of each piece that merging may make.
+        self.merges = {
+            p: (float(np.frombuffer(spec.get(2, [b"\0" * 4])[0], "<f4")[0]), i)
+            for i, (p, spec, special_piece) in enumerate(zip(pieces, specs, special)) if not special_piece
+        }
+        self.bytes = [self.library.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
+        self.own = (
+            trainer.get(3, [1])[0] == PAIR_MERGES
+            and bool(trainer.get(35, [0])[0])
+            and not trainer.get(24, [0])[0]
+            and not {USER_DEFINED, UNUSED} & set(kinds)
         )
-        self.feed = self.library.piece_to_id("<0x0A>")
+        #: Words may be taken alone: marks only lead pieces, and line feeds are bytes.
+        self.by_word = all((p.rfind(MARK) <= 0 or not p.strip(MARK)) and "\n" not in p for p in self.merges)
         self.words: dict[str, tuple[int, ...]] = {}
 
-    def _word(self, word: str, leads: bool) -> tuple[int, ...]:
-        """Ids of a word after a mark (``leads``) or at the beginning of a line."""
-        key = word if leads else "\n" + word
-        ids = self.words.get(key)
-        if ids is None:
-            ids = tuple(self.library.encode(word)) if leads else tuple(self.library.encode(key))[2:]
-            if len(word) <= LONGEST_CACHED:
-                if len(self.words) >= CACHED:
-                    self.words.clear()
-                self.words[key] = ids
+    def merged(self, word: str) -> list[str]:
+        """The word's characters, merged pair by pair: the best score first, and of equal ones the leftmost."""
+        symbols: list[str | None] = list(word)
+        n = len(symbols)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        merges = self.merges
+        queue = [(-merges[p][0], k, k + 1, p) for k in range(n - 1) if (p := word[k : k + 2]) in merges]
+        heapify(queue)
+        while queue:
+            _, left, right, piece = heappop(queue)
+            if symbols[left] is None or symbols[right] is None or after[left] != right or len(symbols[left]) + len(symbols[right]) != len(piece):
+                continue
+            symbols[left], symbols[right] = piece, None
+            follows = after[left] = after[right]
+            if follows < n:
+                before[follows] = left
+                if (p := piece + symbols[follows]) in merges:
+                    heappush(queue, (-merges[p][0], left, follows, p))
+            leads = before[left]
+            if leads >= 0 and (p := symbols[leads] + piece) in merges:
+                heappush(queue, (-merges[p][0], leads, left, p))
+        return [s for s in symbols if s is not None]
+
+    def _word(self, word: str) -> tuple[int, ...]:
+        out: list[int] = []
+        for symbol in self.merged(word):
+            found = self.merges.get(symbol)
+            out += [found[1]] if found else [self.bytes[b] for b in symbol.encode()]
+        ids = tuple(out)
+        if len(word) <= LONGEST_CACHED:
+            if len(self.words) >= CACHED:
+                self.words.clear()
+            self.words[word] = ids
         return ids
 
-    def ids(self, text: str) -> list[int]:
-        if not self.by_word or not text or "  " in text or MARK in text or text[0] == " " or text[-1] == " " or " \n" in text or "\n " in text:
-            return self.library.encode(text)
-        out: list[int] = []
-        known = self.words.get
-        for k, line in enumerate(text.split("\n")):
-            words = line.split(" ")
-            if k:
-                out.append(self.feed)
-                if words[0]:
-                    out += known("\n" + words[0]) or self._word(words[0], False)
-            elif words[0]:
-                out += known(words[0]) or self._word(words[0], True)
-            else:
-                out += self.library.encode("\n")[:1]  # the mark alone, before a leading line feed
-            for word in words[1:]:
-                out += known(word) or self._word(word, True)
+    def encode(self, text: str) -> tuple[list[int], np.ndarray]:
+        """Ids, and begin and end in bytes of the text of each."""
+        normal, places = self.normaliser.normalise(text)
+        ids = self._ids(normal) if self.own else self.library.encode(text)
+        return ids, self._spans(text, ids, normal, places)
+
+    def _ids(self, normal: bytes) -> list[int]:
+        known, out = self.words.get, []
+        whole = normal.decode()
+        for word in WORDS.findall(whole) if self.by_word else [whole]:
+            out += known(word) or self._word(word)
         return out
 
-    def spans(self, text: str, ids: list[int]) -> np.ndarray:
-        """Begin and end, in bytes of the text, of each piece."""
-        normal, places = self.normaliser.normalise(text)
+    def _spans(self, text: str, ids: list[int], normal: bytes, places: np.ndarray) -> np.ndarray:
         ends = np.cumsum(self.width[np.array(ids, np.int64)]) if ids else np.zeros(0, np.int64)
         if len(ends) and ends[-1] != len(normal):  # an unknown piece stands for a character of any width
-            surfaces = [p.surface for p in self.library.encode(text, out_type="immutable_proto").pieces]
-            piece_ends = np.cumsum([len(s.encode()) for s in surfaces])
-            return np.stack([np.concatenate([[0], piece_ends[:-1]]), piece_ends], 1)
+            found = self.library.encode(text, return_type="proto").pieces
+            return np.array([(p.begin, p.end) for p in found], np.int64).reshape(-1, 2)
         starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
         return np.stack([places[starts], places[ends]], 1) if len(ends) else np.zeros((0, 2), np.int64)
 
@@ -236,8 +265,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         pieces = encoder(path)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            ids = [pieces.ids(t) for t in texts]
-            spans = [pieces.spans(t, i) for t, i in zip(texts, ids)]
+            ids, spans = zip(*map(pieces.encode, texts)) if texts else ((), ())
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -271,12 +299,12 @@ def encode_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
             out = []
             for text in batch.column(1).to_pylist():
                 text = text or ""
-                ids = pieces.ids(text)
+                ids, spans = pieces.encode(text)
                 out.append((
                     len(ids),
                     hashlib.sha256(",".join([numbers[i] for i in ids]).encode()).hexdigest(),
                     hashlib.sha256(pieces.library.decode(ids).encode()).hexdigest(),
-                    zlib.crc32(pieces.spans(text, ids).astype("<i8").tobytes()),
+                    zlib.crc32(spans.astype("<i8").tobytes()),
                 ))
             columns = list(zip(*out)) or [()] * 4
             types = [pa.int64(), pa.string(), pa.string(), pa.int64()]
