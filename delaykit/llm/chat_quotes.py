@@ -10,8 +10,9 @@ the same context, and these before other paragraphs.
 
 Holders and askers of a hash are laid in the order of ids, and each asker takes the last holder so far. A
 hash that many messages share is cut into ranges of ids, each of which starts from the last holder of the
-ranges before it, so no pairs are made and every message stays a candidate. Replies are ordered by
-following parents in doubling steps, in as many rounds as the logarithm of the deepest thread.
+ranges before it, so no pairs are made and every message stays a candidate. Roots are found by following
+parents in doubling steps, in as many rounds as the logarithm of the deepest thread; a row keeps its root and
+depth, never the way there. Messages are then numbered by root and id.
 
 Corner cases: a null or empty message has no text and no parent; a message without a match begins its own
 conversation, and so does one with a null id; equal messages are each kept, and replies go to the last before
@@ -24,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from delaykit.llm.common import let, stored
+from delaykit.operators.numbering import numbered
 
 MARKS = r"^[\t ]*((?:>[\t ]?)+)"
 ANNOUNCEMENT = r"(?i)^on .* wrote:[\t ]*$"
@@ -31,7 +33,8 @@ ANNOUNCEMENT = r"(?i)^on .* wrote:[\t ]*$"
 
 def level(line: Column) -> Column:
     marks = F.regexp_extract(line, MARKS, 1)
-    return F.length(marks) - F.length(F.replace(marks, F.lit(">"), F.lit("")))
+    found = F.length(marks) - F.length(F.replace(marks, F.lit(">"), F.lit("")))
+    return F.when(F.contains(line, F.lit(">")), found).otherwise(F.lit(0))
 
 
 def unmarked(line: Column) -> Column:
@@ -52,17 +55,21 @@ def hashed(text: Column) -> Column:
     return let(normalised(text), lambda t: F.when(t != "", F.unhex(F.sha2(t, 256))))
 
 
+def levelled(lines: Column) -> Column:
+    """(level, line) of each line, so that marks are counted once."""
+    return F.transform(lines, lambda line: F.struct(level(line).alias("level"), line.alias("line")))
+
+
 def own_text(lines: Column) -> Column:
-    stay = F.filter(
-        lines,
-        lambda line, i: (level(line) == 0)
-        & ~(line.rlike(ANNOUNCEMENT) & (F.coalesce(level(F.get(lines, i + 1)), F.lit(0)) > 0)),
-    )
-    return F.trim(F.array_join(stay, "\n"), F.lit(" \t\n\r"))
+    """Text of levelled lines without quotations and their announcements."""
+    follows = lambda i: F.coalesce(F.get(lines, i + 1)["level"], F.lit(0)) > 0
+    stay = F.filter(lines, lambda line, i: (line["level"] == 0) & ~(line["line"].rlike(ANNOUNCEMENT) & follows(i)))
+    return F.trim(F.array_join(stay["line"], "\n"), F.lit(" \t\n\r"))
 
 
-def quoted_text(lines: Column) -> Column:
-    return F.array_join(F.transform(F.filter(lines, lambda line: level(line) > 0), unmarked), "\n")
+def quoted_lines(lines: Column) -> Column:
+    """The quoted ones of levelled lines with one mark less, levelled."""
+    return levelled(F.transform(F.filter(lines, lambda line: line["level"] > 0), lambda line: unmarked(line["line"])))
 
 
 def paragraphs(text: Column) -> Column:
@@ -75,26 +82,30 @@ def parse(messages: DataFrame, id_col: str, role_col: str, text_col: str) -> Dat
     The context of a text is the own text of what it quotes.
     """
     text = F.replace(F.coalesce(F.col(text_col), F.lit("")), F.lit("\r\n"), F.lit("\n"))
+    step = lambda **columns: F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()])))
     lines = messages.select(
         F.col(id_col).alias("id"), F.col(role_col).alias("role"), text.alias("body"),
-        F.explode(F.array(F.split(text, "\n"))).alias("lines"),
+        F.explode(F.array(levelled(F.split(text, "\n")))).alias("lines"),
     )
-    texts = lines.select(
+    outer = lines.select(
         "id", "role", "body",
-        F.explode(F.array(F.struct(
-            own_text(F.col("lines")).alias("own"), quoted_text(F.col("lines")).alias("quoted"),
-            F.array_max(F.transform("lines", level)).alias("depth"),
-        ))).alias("t"),
+        step(
+            own=own_text(F.col("lines")), depth=F.array_max(F.col("lines.level")), quoted=quoted_lines(F.col("lines"))
+        ).alias("t"),
+    )
+    texts = outer.select(
+        "id", "role", "body", "t",
+        step(
+            text=F.array_join("t.quoted.line", "\n"), own=own_text(F.col("t.quoted")), deeper=quoted_lines(F.col("t.quoted"))
+        ).alias("q"),
     )
     each = lambda text: F.array_compact(F.array_distinct(F.transform(paragraphs(text), hashed)))
-    inner = lambda text: own_text(F.split(text, "\n"))
-    deeper = quoted_text(F.split("t.quoted", "\n"))
     return texts.select(
         "id", "role", "t.own", F.col("t.depth").alias("quote_depth"),
         F.array_compact(F.array_distinct(F.array(hashed(F.col("body")), hashed(F.col("t.own"))))).alias("wholes"),
-        each(F.col("t.own")).alias("parts"), hashed(inner(F.col("t.quoted"))).alias("context"),
-        hashed(F.col("t.quoted")).alias("quote"), F.when(F.col("t.depth") > 0, each(inner(F.col("t.quoted")))).alias("quote_parts"),
-        hashed(inner(deeper)).alias("quote_context"),
+        each(F.col("t.own")).alias("parts"), hashed(F.col("q.own")).alias("context"),
+        hashed(F.col("q.text")).alias("quote"), F.when(F.col("t.depth") > 0, each(F.col("q.own"))).alias("quote_parts"),
+        hashed(own_text(F.col("q.deeper"))).alias("quote_context"),
     )
 
 
@@ -136,36 +147,33 @@ def link_parents(parsed: DataFrame) -> DataFrame:
 
 
 def conversations(messages: DataFrame, id_col: str = "message_id", role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """One row per message: ``root_id``, ``path``, ``depth``, ``message_id``, ``parent_id``, ``role``, ``text``, ``quote_depth``.
+    """One row per message: ``root_id``, ``place``, ``depth``, ``message_id``, ``parent_id``, ``role``, ``text``, ``quote_depth``.
 
-    ``text`` has no quotations. Rows of one ``root_id`` in the order of ``path`` are a conversation in which
+    ``text`` has no quotations. Rows of one ``root_id`` in the order of ``place`` are a conversation in which
     each reply follows its parent. Ids must be whole numbers that grow with time.
     """
     parsed = stored(parse(messages, id_col, role_col, text_col), "messages")
-    step = lambda c: F.lpad(c.cast("string"), 20, "0")
     nodes = parsed.filter("id is not null").select("id").distinct().join(link_parents(parsed), "id", "left")
-    paths = stored(
+    threads = stored(
         nodes.select(
             "id", "parent", F.col("parent").alias("up"), F.coalesce("parent", "id").alias("root"),
-            step(F.col("id")).alias("path"), F.lit(0).alias("depth"),
+            F.when(F.col("parent").isNotNull(), 1).otherwise(0).alias("depth"),
         ),
-        "paths",
+        "threads",
     )
-    while not paths.filter("up is not null").isEmpty():
-        above = paths.select(
-            F.col("id").alias("above"), F.col("up").alias("further"), F.col("root").alias("above_root"),
-            F.col("path").alias("above_path"), F.col("depth").alias("above_depth"),
-        )
+    # Each round doubles the way from a message to ``up``, the one it has been followed to.
+    while not threads.filter("up is not null").isEmpty():
+        above = threads.select(
+            F.col("id").alias("up"), F.col("up").alias("further"), F.col("root").alias("above_root"), F.col("depth").alias("above_depth")
+        )
         # Those that have reached their root wait, and are joined no more.
-        paths = stored(
-            paths.filter("up is null").unionByName(paths.filter("up is not null").join(above, F.col("up") == F.col("above"), "left").select(
-                "id", "parent", F.col("further").alias("up"), F.coalesce("above_root", "root").alias("root"),
-                F.when(F.col("above").isNotNull(), F.concat_ws("/", "above_path", "path")).otherwise(F.col("path")).alias("path"),
-                (F.col("depth") + F.coalesce(F.col("above_depth") + 1, F.lit(0))).alias("depth"),
-            )),
-            "paths",
-        )
-    return parsed.join(paths, "id", "left").select(
-        F.col("root").alias("root_id"), "path", "depth", F.col("id").alias("message_id"), F.col("parent").alias("parent_id"),
+        followed = threads.filter("up is not null").join(above, "up").select(
+            "id", "parent", F.col("further").alias("up"), F.col("above_root").alias("root"), (F.col("depth") + F.col("above_depth")).alias("depth")
+        )
+        threads = stored(threads.filter("up is null").unionByName(followed), "threads")
+    # A parent has a lower id than its replies, so ids order the replies of a conversation.
+    placed = numbered(threads.select("id", "parent", "root", "depth"), ["root", "id"], "place")
+    return parsed.join(placed, "id", "left").select(
+        F.col("root").alias("root_id"), "place", "depth", F.col("id").alias("message_id"), F.col("parent").alias("parent_id"),
         "role", F.col("own").alias("text"), "quote_depth",
     )

@@ -234,7 +234,7 @@ def test_replies_follow_what_they_quote(spark):
         1: (None, 1, 0), 2: (1, 1, 1), 3: (2, 1, 2), 4: (2, 1, 2), 5: (None, 5, 0), 6: (None, 6, 0), None: (None, None, None),
     }
     assert out[2].text == "Turn it off.\n\nThen on." and out[3].quote_depth == 2 and out[4].text == "Why?"
-    assert sorted(v.path for k, v in out.items() if k in (1, 2, 3, 4)) == [out[k].path for k in (1, 2, 3, 4)]
+    assert sorted(v.place for k, v in out.items() if k in (1, 2, 3, 4)) == [out[k].place for k in (1, 2, 3, 4)]
 
 
 def test_replies_go_to_the_latest_holder(spark):
