@@ -19,14 +19,17 @@ import hashlib
 import re
 import zlib
 from heapq import heapify, heappop, heappush
+from math import inf
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 MARK = "▁"
-CACHED = 200_000
+CACHED = 400_000
 LONGEST_CACHED = 48
+#: Words of more characters are merged from a queue, others by looking through their pairs.
+SHORT = 64
 #: Numbers of the model file's format: kinds of pieces and of models.
 NORMAL, USER_DEFINED, UNUSED = 1, 4, 5
 PAIR_MERGES = 2
@@ -175,11 +178,11 @@ class PieceEncoder:
         specs = [message_fields(p) for p in fields[1]]
         kinds = [spec.get(3, [NORMAL])[0] for spec in specs]
         trainer = message_fields(fields[2][0])
-        #: Score and id of each piece that merging may make.
-        self.merges = {
-            p: (float(np.frombuffer(spec.get(2, [b"\0" * 4])[0], "<f4")[0]), i)
-            for i, (p, spec, special_piece) in enumerate(zip(pieces, specs, special)) if not special_piece
-        }
+        #: Negative score and id of each piece that merging may make.
+        self.costs = {
+            p: -float(np.frombuffer(spec.get(2, [b"\0" * 4])[0], "<f4")[0]) for p, spec, other in zip(pieces, specs, special) if not other
+        }
+        self.numbers = {p: i for i, p in enumerate(pieces) if p in self.costs}
         self.bytes = [self.library.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.own = (
             trainer.get(3, [1])[0] == PAIR_MERGES
@@ -188,16 +191,33 @@ class PieceEncoder:
             and not {USER_DEFINED, UNUSED} & set(kinds)
         )
         #: Words may be taken alone: marks only lead pieces, and line feeds are bytes.
-        self.by_word = all((p.rfind(MARK) <= 0 or not p.strip(MARK)) and "\n" not in p for p in self.merges)
+        self.by_word = all((p.rfind(MARK) <= 0 or not p.strip(MARK)) and "\n" not in p for p in self.costs)
         self.words: dict[str, tuple[int, ...]] = {}
 
     def merged(self, word: str) -> list[str]:
         """The word's characters, merged pair by pair: the best score first, and of equal ones the leftmost."""
+        return self.merged_short(word) if len(word) <= SHORT else self.merged_long(word)
+
+    def merged_short(self, word: str) -> list[str]:
+        symbols, cost, none = list(word), self.costs.get, inf
+        pairs = [cost(word[k : k + 2], none) for k in range(len(symbols) - 1)]
+        while pairs and (best := min(pairs)) != none:
+            k = pairs.index(best)
+            piece = symbols[k] + symbols.pop(k + 1)
+            symbols[k] = piece
+            del pairs[k]
+            if k < len(pairs):
+                pairs[k] = cost(piece + symbols[k + 1], none)
+            if k:
+                pairs[k - 1] = cost(symbols[k - 1] + piece, none)
+        return symbols
+
+    def merged_long(self, word: str) -> list[str]:
         symbols: list[str | None] = list(word)
         n = len(symbols)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        merges = self.merges
-        queue = [(-merges[p][0], k, k + 1, p) for k in range(n - 1) if (p := word[k : k + 2]) in merges]
+        costs = self.costs
+        queue = [(costs[p], k, k + 1, p) for k in range(n - 1) if (p := word[k : k + 2]) in costs]
         heapify(queue)
         while queue:
             _, left, right, piece = heappop(queue)
@@ -207,18 +227,21 @@ class PieceEncoder:
             follows = after[left] = after[right]
             if follows < n:
                 before[follows] = left
-                if (p := piece + symbols[follows]) in merges:
-                    heappush(queue, (-merges[p][0], left, follows, p))
+                if (p := piece + symbols[follows]) in costs:
+                    heappush(queue, (costs[p], left, follows, p))
             leads = before[left]
-            if leads >= 0 and (p := symbols[leads] + piece) in merges:
-                heappush(queue, (-merges[p][0], leads, left, p))
+            if leads >= 0 and (p := symbols[leads] + piece) in costs:
+                heappush(queue, (costs[p], leads, left, p))
         return [s for s in symbols if s is not None]
 
     def _word(self, word: str) -> tuple[int, ...]:
         out: list[int] = []
         for symbol in self.merged(word):
-            found = self.merges.get(symbol)
-            out += [found[1]] if found else [self.bytes[b] for b in symbol.encode()]
+            found = self.numbers.get(symbol)
+            if found is None:
+                out += [self.bytes[b] for b in symbol.encode()]
+            else:
+                out.append(found)
         ids = tuple(out)
         if len(word) <= LONGEST_CACHED:
             if len(self.words) >= CACHED:

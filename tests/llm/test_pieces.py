@@ -68,3 +68,9 @@ def test_a_model_whose_words_cannot_be_cut(tmp_path):
     own.by_word = False
     for text in ODD + random_texts(200):
         assert own.encode(text)[0] == own.library.encode(text), text[:80]
+
+
+def test_short_and_long_words_merge_alike():
+    own = sentence_pieces.PieceEncoder(PIECES)
+    for text in random_texts(2000):
+        assert own.merged_short(text) == own.merged_long(text), text
