@@ -6,17 +6,22 @@ a random log-scale; the term with the smallest value is the sample, together wit
 weight fell on. Two texts agree in a sample with the probability sum(min) / sum(max) of their weights, the
 generalised Jaccard similarity. A fingerprint keeps 16 bits of each sample.
 
-Neighbours in the order of ids meet by one shuffle of the texts: ids are cut into even ranges, each range is
-sorted in a task, and the first document of a range is also sent to the range before it. Only the cuts and
-the first id of each range reach the driver: one number for each task.
+Neighbours in the order of ids meet by one shuffle of the texts: the distinct pairs of an id and its text's
+hash are range-sorted and so cut into even ranges, each range of texts is sorted in a task, and the first
+document of a range is also sent to the range before it. An id that many unlike texts share spans ranges.
+Copies of one row follow one another, so all but one of a task's copies have a copy as their next: they are
+finished where they lie, and a range gets a text from each task once. Only the last pair of each range
+reaches the driver.
 
 Corner cases: a null or empty text has no terms and the empty fingerprint, which is like itself alone;
-texts of any length are read whole; rows that share an id follow one another by text; a row with a null id
-has no next document, and nothing is put in place of what its edit cuts off; the only row of a table is its
-own next; an empty table gives no rows; other columns are not read.
+texts of any length are read whole; rows that share an id follow one another by the hash of their text; a
+row with a null id has no next document, and nothing is put in place of what its edit cuts off; the only row
+of a table is its own next; ids may be of any type that can be ordered; an empty table gives no rows; other
+columns are not read.
 """
 
 import hashlib
+from bisect import bisect_left
 from collections import Counter
 
 import numpy as np
@@ -25,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaykit.llm.common import U64, mix, words_of
+from delaykit.llm.common import U64, mix, stored, words_of
 
 SAMPLES = 64
 RANGE_ROWS = 4000
@@ -158,23 +163,27 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
-def _ranges(ids: DataFrame, rows: int) -> tuple[list[int], dict[int, list[int]]]:
-    """Cuts of the ids into even ranges, and first id of a range -> ranges that it also goes to."""
-    count = ids.count()
-    n = -(-count // rows)
-    cuts = sorted(set(ids.approxQuantile("id", [k / n for k in range(1, n)], 0.1 / n))) if n > 1 else []
+def _tops(docs: DataFrame, rows: int) -> list[tuple]:
+    """The last (id, hash of the text) of each of the even ranges that the distinct ones are cut into, in order."""
+    keys = stored(docs.filter("id is not null").select("id", "hash").distinct(), "keys")
+    n = max(1, -(-keys.count() // rows))
+    ranged = keys.repartitionByRange(n, "id", "hash").select(F.spark_partition_id().alias("range"), "id", "hash")
+    tops = ranged.groupBy("range").agg(F.max(F.struct("id", "hash")).alias("top")).select("top.*").collect()
+    return sorted(tuple(t) for t in tops)
+
+
+def _edited(text: str, other: str | None) -> str:
+    cut = len(text) // 2
+    return text[: len(text) - cut] + (other or "")[:cut]
 
-    def place(batches):
-        for batch in batches:
-            at = np.searchsorted(cuts, batch.column(0).to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64)), batch.column(0)], ["range", "id"])
 
-    tops = ids.mapInArrow(place, "range bigint, id bigint").groupBy("range").agg(F.max("id").alias("top")).collect()
-    tops = sorted((r["range"], r["top"]) for r in tops)
-    to: dict[int, list[int]] = {}
-    for k, (_, top) in enumerate(tops):  # the order goes down, so a range's first document follows the range above
-        to.setdefault(top, []).append(tops[(k + 1) % len(tops)][0])
-    return [float(c) for c in cuts], to
+def _results(pairs: list[tuple], samples: int) -> list[tuple]:
+    """What is told of each (text, mark, next text, next mark); the next ones may be None."""
+    edited = [_edited(text, other) for text, _, other, _ in pairs]
+    return [
+        (len(text), hashlib.sha256(new.encode()).hexdigest(), new_mark, likeness(mark, new_mark), 0.0 if far is None else likeness(mark, far))
+        for (text, mark, _, far), new, new_mark in zip(pairs, edited, fingerprints(edited, samples))
+    ]
 
 
 def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samples: int = SAMPLES, range_rows: int = RANGE_ROWS) -> DataFrame:
@@ -182,64 +191,80 @@ def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     The edit puts the beginning of the next document, in descending order of ids, in place of the last half.
     """
-    ids = docs.select(F.col(id_col).cast("bigint").alias("id")).filter("id is not null")
-    cuts, heads = _ranges(ids, range_rows)
-    ranges = max(1, len(cuts) + 1)
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    rows = rows.select("id", F.xxhash64("text").alias("hash"), "text")
+    tops = _tops(rows, range_rows)
+    ranges = max(1, len(tops))
+    # The order goes down, so a range's first document follows the range above.
+    follows = {top: (k + 1) % len(tops) for k, top in enumerate(tops)}
+    told = [("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("edited", pa.binary()), ("near_edited", pa.float64()), ("near_next", pa.float64())]
+    sent = [("range", pa.int64()), ("part", pa.int32()), ("id", None), ("hash", pa.int64()), ("text", pa.string()), ("mark", pa.binary()), *told]
+    unfinished = (None,) * len(told)
+
+    def batch_of(found: list[tuple], columns: list[tuple], id_type) -> pa.RecordBatch:
+        values = list(zip(*found)) or [()] * len(columns)
+        return pa.RecordBatch.from_arrays([pa.array(v, t or id_type) for v, (_, t) in zip(values, columns)], [name for name, _ in columns])
 
     def send(batches):
+        marks: dict[tuple, bytes] = {}
+        copies: dict[tuple, list] = {}
         for batch in batches:
-            doc_ids, texts = (c.to_pylist() for c in batch.columns)
-            rows = []
-            for doc, text, mark in zip(doc_ids, texts, fingerprints(texts, samples)):
-                text = text or ""
-                if doc is None:
-                    rows.append((len(text) % ranges, 0, doc, text, mark))
-                else:
-                    rows.append((int(np.searchsorted(cuts, doc)), 1, doc, text, mark))
-                    rows += [(place, 2, doc, text, mark) for place in heads.get(doc, ())]
-            columns = list(zip(*rows)) or [()] * 5
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.binary()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types)], ["range", "part", "id", "text", "mark"]
-            )
+            ids, hashes, texts = (c.to_pylist() for c in batch.columns)
+            own = list(zip(ids, hashes))
+            new = {key: text for key, text in zip(own, texts) if key not in marks}
+            marks.update(zip(new, fingerprints(list(new.values()), samples)))
+            out = []
+            for key, text in zip(own, texts):
+                doc, code = key
+                alone = doc is None
+                if not alone and new.pop(key, None) is not None:
+                    place = bisect_left(tops, key)
+                    out.append((place, 1, doc, code, text, marks[key], *unfinished))
+                    if key in follows:
+                        out.append((follows[key], 2, doc, code, text, marks[key], *unfinished))
+                    continue
+                # The copy before is this one's next, whichever of the copies that is: nothing is left to wait for.
+                if key not in copies:
+                    result = _results([(text, marks[key], *((None, None) if alone else (text, marks[key])))], samples)[0]
+                    copies[key] = [0, result]
+                copies[key][0] += 1
+                out.append(((code + copies[key][0]) % ranges, 0, doc, code, None, marks[key], *copies[key][1]))
+            yield batch_of(out, sent, batch.column(0).type)
 
     def edit(batches):
         waiting: tuple | None = None
         for batch in batches:
-            done = []
+            id_type = batch.column(2).type
+            whole, pairs = [], []
             for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if waiting is not None and (waiting[0] == row[0] or waiting[1] == 0):
-                    done.append((waiting, row if waiting[1] == 1 and row[0] == waiting[0] else None))
-                waiting = row if row[1] < 2 else None
-            if done:
-                yield finished(done)
+                if row[1] == 0:
+                    whole.append((row[2], row[5], *row[6:]))
+                    continue
+                if waiting is not None:
+                    pairs.append((waiting, row if row[0] == waiting[0] else None))
+                waiting = row if row[1] == 1 else None
+            yield finished(whole, pairs, id_type)
         if waiting is not None:
-            yield finished([(waiting, None)])
-
-    def finished(pairs):
-        edited = []
-        for (_, _, _, text, _), other in pairs:
-            cut = len(text) // 2
-            edited.append(text[: len(text) - cut] + (other[3][:cut] if other else ""))
-        marks = fingerprints(edited, samples)
-        columns = [
-            pa.array([p[0][2] for p in pairs], pa.int64()),
-            pa.array([len(p[0][3]) for p in pairs], pa.int64()),
-            pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited]),
-            pa.array([p[0][4].hex() for p in pairs]),
-            pa.array([m.hex() for m in marks]),
-            pa.array([likeness(p[0][4], m) for p, m in zip(pairs, marks)], pa.float64()),
-            pa.array([likeness(p[0][4], p[1][4]) if p[1] else 0.0 for p in pairs], pa.float64()),
-        ]
-        return pa.RecordBatch.from_arrays(columns, names)
-
-    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    sent = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        send, "range bigint, part int, id bigint, text string, mark binary"
+            yield finished([], [(waiting, None)], id_type)
+
+    def finished(whole, pairs, id_type):
+        results = _results([(row[4], row[5], *((None, None) if other is None else other[4:6])) for row, other in pairs], samples)
+        whole += [(row[2], row[5], *result) for (row, _), result in zip(pairs, results)]
+        shown = [(doc, n, sha, mark.hex(), new.hex(), near, far) for doc, mark, n, sha, new, near, far in whole]
+        return batch_of(shown, shown_columns, id_type)
+
+    shown_columns = [
+        ("doc_id", None), told[0], told[1], ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), told[3], told[4]
+    ]
+    dealt = rows.mapInArrow(
+        send,
+        f"range bigint, part int, id {kind}, hash bigint, text string, mark binary,"
+        " n_chars bigint, edited_sha256 string, edited binary, near_edited double, near_next double",
     )
-    placed = sent.repartition(ranges, "range").sortWithinPartitions("range", "part", F.desc("id"), "text")
+    placed = dealt.repartition(ranges, "range").sortWithinPartitions("range", "part", F.desc("id"), F.desc("hash"))
     return placed.mapInArrow(
         edit,
-        "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string,"
+        f"doc_id {kind}, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string,"
         " near_edited double, near_next double",
     ).withColumnRenamed("doc_id", id_col)

@@ -1,6 +1,7 @@
 """Copies, clashing columns, odd records and thresholds of the earlier text operators."""
 
 import gzip
+import hashlib
 import zlib
 
 import itertools
@@ -10,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from delaykit.llm import common, importance, language_id, lm_scoring, near_dedup, warc
+from delaykit.llm import common, fingerprints, importance, language_id, lm_scoring, near_dedup, warc
 from delaykit.llm.queries import mailed
 from tests.conftest import SMALL
 from tests.llm.test_operators import odd
@@ -236,3 +237,42 @@ def test_mails_of_long_conversations_and_copies(spark):
     assert texts.count("On Monday somebody wrote:\n> x\ny") == 2
     assert "On Monday somebody wrote:\n> > one 1002\n> one 1003\none 1004" in texts
     assert "On Monday somebody wrote:\n> > x\n> y\n" in texts
+
+
+# --- fingerprints ----------------------------------------------------------
+
+
+def neighbours_by_brute_force(rows):
+    """Sorted (id, digest of the edited text, likeness to the edited text, likeness to the next) of (id, text, hash) rows."""
+    order = sorted((r for r in rows if r[0] is not None), key=lambda r: (r[0], r[2]), reverse=True)
+    pairs = [(r, order[(k + 1) % len(order)]) for k, r in enumerate(order)] + [(r, None) for r in rows if r[0] is None]
+    found = []
+    for (doc, text, _), other in pairs:
+        cut = len(text) // 2
+        edited = text[: len(text) - cut] + (other[1][:cut] if other else "")
+        own, new, far = fingerprints.fingerprints([text, edited, other[1] if other else ""])
+        found.append((str(doc), hashlib.sha256(edited.encode()).hexdigest(), fingerprints.likeness(own, new), fingerprints.likeness(own, far) if other else 0.0))
+    return sorted(found)
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_neighbours_of_hot_ids_and_copies(spark, kind):
+    """A third of the rows are copies of one, a third share an id, some have no id; ids may be texts."""
+    rows = [(7, "the same text of many copies again and again") for _ in range(200)]
+    rows += [(8, f"text number {k} of the shared id {k % 13}") for k in range(200)]
+    rows += [(k, f"words {k} of {k * k} own rows" if k % 9 else None) for k in range(10, 200)]
+    rows += [(None, "no id has this row"), (None, "no id has this row"), (None, None)]
+    name = (lambda k: k) if kind == "bigint" else (lambda k: None if k is None else f"d{k}")
+    docs = spark.createDataFrame([(name(k), t) for k, t in rows], f"doc_id {kind}, text string").repartition(7)
+    told = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("t")).select("doc_id", "t", F.xxhash64("t")).collect()
+    found = fingerprints.compare_neighbours(docs, range_rows=17).collect()
+    assert sorted((str(r.doc_id), r.edited_sha256, r.near_edited, r.near_next) for r in found) == neighbours_by_brute_force([tuple(r) for r in told])
+
+
+def test_hot_ids_are_spread_and_copies_stay_where_they_lie(spark):
+    rows = [(1, "one text that a third of the rows hold")] * 1500 + [(2, f"unlike text {k}") for k in range(1500)]
+    rows += [(k, f"text {k}") for k in range(3, 1503)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
+    out = fingerprints.compare_neighbours(docs, range_rows=100)
+    sizes = out.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    assert sum(sizes) == len(rows) and max(sizes) < len(rows) / 6
