@@ -12,11 +12,14 @@
 5. In each list, all members are held against two others: the *centre*, which is the class with most
    company, and one picked by hash, which differs from list to list. That is linear in the list. Those that
    reach the threshold on their full sets are linked.
-6. Members left outside the centre's component are held against the list's other components, but only
-   where it can matter: Jaccard distance is a metric, so two classes whose distances to the centre differ
-   by more than the threshold's distance cannot be linked, nor those with too unlike sizes, nor those whose
-   bitmaps (the parity of the shingles in each of ``BITS`` bins) differ in more bits than two linked sets
-   may differ in shingles. Surviving pairs count their agreements and then meet on full sets.
+6. Members left outside the centre's component may still be linked with other members of the list. Those
+   that are outside in any list, and the members of such lists, meet again under their rarest shingles: of two
+   sets that reach the threshold, the larger one's first ``n - ceil(t n) + 1`` shingles and the smaller one's
+   first ``n - ceil(2 t n / (1 + t)) + 1`` share one, and what is left of both from there on is enough for the
+   overlap that they need. Texts on one template that are too unlike to be linked differ in more shingles than
+   that, and as shingles of the template come last, such texts never meet, however many there are. Any order
+   gives whole results; this one takes shingles by the counts of ``BINS`` bins over all sets, the rarest first.
+   Pairs that meet count their agreements and then compare their full sets.
 
 Components, not links, are the result, so pairs within a component found in step 5 are left out of step 6.
 The chance that a pair exactly at the threshold has fewer agreements is below ``MISS`` (42 of 64 at 0.85, 38 at
@@ -28,9 +31,7 @@ a null id is kept, without component; an empty table gives no rows; other column
 with one id have different texts, the id stands for the set with the smallest hash.
 """
 
-from functools import reduce
 from math import comb
-from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +47,10 @@ PERCENT = 85
 COORDINATES = 64
 #: Chance that two sets exactly at the threshold agree too rarely to meet.
 MISS = 5e-5
-BITS = 1024
+#: Bins of counted shingles, which every task holds: 8 bytes each.
+BINS = 2**18
+#: Entries of a batch that goes back to Spark.
+ENTRIES = 100_000
 
 
 def matches_for(percent: int, coordinates: int = COORDINATES, miss: float = MISS) -> int:
@@ -119,36 +123,23 @@ def set_hash(shingles: np.ndarray) -> np.uint64:
     return shingles.sum(dtype=np.uint64)
 
 
-def parity_bits(shingles: np.ndarray) -> np.ndarray:
-    """Whether each bin of hashes holds an odd number, as bits of long integers."""
-    bins = np.bincount((shingles >> U64(64 - BITS.bit_length() + 1)).astype(np.int64), minlength=BITS)
-    return np.packbits(bins & 1).view(np.int64)
-
-
-def apart(x: str, y: str) -> Column:
-    """Number of bits in which two bitmaps differ: no more than the shingles that one set has and the other lacks."""
-    return reduce(add, [F.bit_count(F.get(x, i).bitwiseXOR(F.get(y, i))) for i in range(BITS // 64)])
-
-
 def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """(doc_id, shingles, bits) of the sets in ``wanted`` (doc_id, h1)."""
+    """(doc_id, shingles) of the sets in ``wanted`` (doc_id, h1)."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
-            ids, sets, bits = [], [], []
+            ids, sets = [], []
             for doc, text, h1 in zip(*(c.to_pylist() for c in batch.columns)):
                 found = shingle_set(text, words)
                 if set_hash(found).astype(np.int64) == h1:
                     ids.append(doc)
                     sets.append(found.view(np.int64))
-                    bits.append(parity_bits(found))
-            longs = pa.list_(pa.int64())
-            columns = [pa.array(ids, batch.column(0).type), pa.array(sets, longs), pa.array(bits, longs)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "shingles", "bits"])
+            columns = [pa.array(ids, batch.column(0).type), pa.array(sets, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "shingles"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(wanted.select("doc_id", "h1"), "doc_id")
-    return rows.mapInArrow(run, f"doc_id {kind}, shingles array<bigint>, bits array<bigint>")
+    return rows.mapInArrow(run, f"doc_id {kind}, shingles array<bigint>")
 
 
 def alike(percent: int) -> Column:
@@ -156,19 +147,14 @@ def alike(percent: int) -> Column:
     return F.lit(100) * both >= F.lit(percent) * (F.size("sa") + F.size("sb") - both)
 
 
-def distance() -> Column:
-    both = F.size(F.array_intersect("sa", "sb"))
-    return F.lit(1.0) - both / (F.size("sa") + F.size("sb") - both)
-
-
 def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``pairs`` (a, b, ...) with ``linked`` and ``distance`` from the full sets."""
+    """``pairs`` (a, b) with ``linked`` from the full sets."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
     return (
         pairs.join(right, "b")
         .join(left, "a")
-        .select(*pairs.columns, alike(percent).alias("linked"), distance().alias("distance"))
+        .select(*pairs.columns, alike(percent).alias("linked"))
     )
 
 
@@ -190,6 +176,82 @@ def postings(classes: DataFrame, coordinates: int, matches: int) -> DataFrame:
     )
 
 
+def bin_of(shingles: np.ndarray) -> np.ndarray:
+    """Bin of each hash; all of its bits are mixed, so the highest ones serve."""
+    return (shingles.view(np.uint64) >> U64(64 - BINS.bit_length() + 1)).astype(np.int64)
+
+
+def bin_counts(sets: DataFrame) -> np.ndarray:
+    """Shingles of all sets in each of ``BINS`` bins; that many numbers reach the driver, whatever the input."""
+
+    def run(batches):
+        counts = np.zeros(BINS, np.int64)
+        for batch in batches:
+            counts += np.bincount(bin_of(batch.column(0).flatten().to_numpy()), minlength=BINS)
+        held = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(counts[held])], ["bin", "n"])
+
+    found = sets.select("shingles").mapInArrow(run, "bin bigint, n bigint").groupBy("bin").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(BINS, np.int64)
+    counts[found.column("bin").to_numpy()] = found.column("n").to_numpy()
+    return counts
+
+
+def rarest(met: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
+    """``met`` (rep, part, outside, shingles) as (rep, part, outside, n, shingle, rest, first): a row for each shingle of
+    the longer prefix, with the number of shingles from there on, and whether it is in the shorter prefix too."""
+    kept = ["rep", "part", "outside"]
+    kinds = {f.name: f.dataType.simpleString() for f in met.schema.fields}
+
+    def run(batches):
+        for batch in batches:
+            rows, of, shingles, rest, first, held = batch.select(kept), [], [], [], [], 0
+            for row, found in enumerate(batch.column("shingles")):
+                found = found.values.to_numpy()
+                n = len(found)
+                longer = n + percent * n // -100 + 1
+                shorter = n + 2 * percent * n // -(100 + percent) + 1
+                chosen = found[np.lexsort((found, counts[bin_of(found)]))[:longer]]
+                of.append(np.full(longer, row))
+                shingles.append(chosen)
+                rest.append(n - np.arange(longer))
+                first.append(np.arange(longer) < shorter)
+                held += longer
+                if held >= ENTRIES:
+                    yield entries(rows, of, shingles, rest, first)
+                    of, shingles, rest, first, held = [], [], [], [], 0
+            if held:
+                yield entries(rows, of, shingles, rest, first)
+
+    def entries(rows, of, shingles, rest, first):
+        own = rows.take(pa.array(np.concatenate(of)))
+        n = np.concatenate([np.full(len(r), r[0]) for r in rest])
+        more = [pa.array(c) for c in (n, np.concatenate(shingles), np.concatenate(rest), np.concatenate(first))]
+        return pa.RecordBatch.from_arrays([*own.columns, *more], [*kept, "n", "shingle", "rest", "first"])
+
+    schema = ", ".join(f"{c} {kinds[c]}" for c in kept) + ", n bigint, shingle bigint, rest bigint, first boolean"
+    return met.select(*kept, "shingles").mapInArrow(run, schema)
+
+
+def meeting_pairs(entries: DataFrame, percent: int) -> DataFrame:
+    """(a, b), once each, of two parts and at least one outside, that may reach the threshold by their rarest shingles."""
+    x, y = entries.alias("x"), entries.filter("first").alias("y")
+    larger = (F.col("x.n") > F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.rep") < F.col("y.rep")))
+    return (
+        x.join(
+            y,
+            (F.col("x.shingle") == F.col("y.shingle"))
+            & larger
+            & (F.col("x.part") != F.col("y.part"))
+            & (F.col("x.outside") | F.col("y.outside"))
+            & (100 * F.col("y.n") >= percent * F.col("x.n"))
+            & ((100 + percent) * F.least("x.rest", "y.rest") >= percent * (F.col("x.n") + F.col("y.n"))),
+        )
+        .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
+        .distinct()
+    )
+
+
 def near_links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, words: int, percent: int, coordinates: int, matches: int) -> DataFrame:
     """Edges (a, b) that join every component of alike classes."""
     posted = stored(postings(classes, coordinates, matches), "postings")
@@ -207,35 +269,19 @@ def near_links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str,
     )
     placed = posted.select("key", "rep", "n_shingles").join(centres, "key")
     stars = placed.select(F.explode(F.array("centre", "other")).alias("a"), F.col("rep").alias("b")).filter("a <> b").distinct()
-    held = stored(compared(stars, sets, percent), "stars")
-    linked = held.filter("linked").select("a", "b")
+    linked = stored(compared(stars, sets, percent).filter("linked").select("a", "b"), "stars")
 
     parts = connected_components(linked)
-    away = held.select(F.col("a").alias("centre"), F.col("b").alias("rep"), "distance")
-    members = (
-        placed.join(away, ["centre", "rep"], "left")
-        .join(parts, F.col("rep") == F.col("node"), "left")
-        .select("key", "rep", "n_shingles", F.coalesce("component", "rep").alias("part"), F.coalesce("distance", F.lit(0.0)).alias("away"), (F.col("rep") == F.col("centre")).alias("central"))
+    members = placed.filter("rep <> centre").join(parts, F.col("rep") == F.col("node"), "left").select(
+        "key", "rep", "centre", F.coalesce("component", "rep").alias("part")
     )
+    hearts = parts.select(F.col("node").alias("centre"), F.col("component").alias("heart"))
+    members = members.join(hearts, "centre", "left").select("key", "rep", "part", (F.col("part") != F.coalesce("heart", "centre")).alias("outside"))
     members = stored(members, "members")
-    heart = members.filter("central").select("key", F.col("part").alias("heart"))
-    rest = members.join(heart, "key").filter("part <> heart and not central").drop("heart", "central")
-    reach = 1 - percent / 100 + 1e-9
-    bits = sets.select(F.col("doc_id").alias("rep"), "bits")
-    others = members.filter("not central").join(rest.select("key").distinct(), "key", "left_semi")
-    x, y = rest.join(bits, "rep").alias("x"), others.join(bits, "rep").alias("y")
-    pairs = (
-        x.join(
-            y,
-            (F.col("x.key") == F.col("y.key"))
-            & (F.col("x.part") != F.col("y.part"))
-            & (F.abs(F.col("x.away") - F.col("y.away")) <= reach)
-            & (100 * F.least("x.n_shingles", "y.n_shingles") >= percent * F.greatest("x.n_shingles", "y.n_shingles"))
-            & ((100 + percent) * apart("x.bits", "y.bits") <= (100 - percent) * (F.col("x.n_shingles") + F.col("y.n_shingles"))),
-        )
-        .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
-        .distinct()
-    )
+    lists = members.filter("outside").select("key").distinct()
+    met = members.join(lists, "key", "left_semi").groupBy("rep", "part").agg(F.max("outside").alias("outside"))
+    met = met.join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+    pairs = meeting_pairs(stored(rarest(met, bin_counts(sets), percent), "rarest"), percent)
     enough = (
         pairs.join(classes.select(F.col("rep").alias("a"), F.col("keys").alias("ka")), "a")
         .join(classes.select(F.col("rep").alias("b"), F.col("keys").alias("kb")), "b")

@@ -276,3 +276,40 @@ def test_hot_ids_are_spread_and_copies_stay_where_they_lie(spark):
     out = fingerprints.compare_neighbours(docs, range_rows=100)
     sizes = out.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
     assert sum(sizes) == len(rows) and max(sizes) < len(rows) / 6
+
+
+# --- rarest shingles -------------------------------------------------------
+
+
+def entries_of(spark, sets, percent):
+    met = spark.createDataFrame([(k, k, True, s) for k, s in sets.items()], "rep bigint, part bigint, outside boolean, shingles array<bigint>")
+    return near_dedup.rarest(met, near_dedup.bin_counts(met), percent)
+
+
+@pytest.mark.parametrize("percent", [80, 85, 100])
+def test_all_linked_sets_meet(spark, percent):
+    """Sets of unlike sizes around the threshold, small ones and equal ones included."""
+    rng = np.random.default_rng(percent)
+    pool = near_dedup.mix(np.arange(1, 400, dtype=np.uint64)).view(np.int64)
+    sets = {}
+    for k in range(160):
+        base = pool[: (3, 12, 60, 200)[k % 4]]
+        held = rng.random(len(base)) > (0, 0.03, 0.08, 0.15)[k // 4 % 4]
+        sets[k] = np.unique(np.concatenate([base[held], rng.choice(pool, rng.integers(1, 6))])).tolist()
+    met = {(r.a, r.b) for r in near_dedup.meeting_pairs(entries_of(spark, sets, percent), percent).collect()}
+    linked = set()
+    for a, b in itertools.combinations(sets, 2):
+        x, y = set(sets[a]), set(sets[b])
+        if 100 * len(x & y) >= percent * len(x | y):
+            linked.add((a, b))
+    assert linked <= met and (percent == 100 or linked)
+
+
+def test_texts_on_one_template_do_not_meet_below_the_threshold(spark):
+    """Pairs of 0.78 and 0.82 around a threshold of 0.8: none of the first, all of the second come to be compared."""
+    shared = near_dedup.mix(np.arange(1, 400, dtype=np.uint64)).view(np.int64)[:200].tolist()
+    for own, meet in ((28, False), (21, True)):
+        sets = {k: shared + near_dedup.mix(np.arange(k * 1000 + 500, k * 1000 + 500 + own, dtype=np.uint64)).view(np.int64).tolist() for k in range(1, 41)}
+        assert (200 >= 0.8 * (200 + 2 * own)) == meet
+        found = near_dedup.meeting_pairs(entries_of(spark, sets, 80), 80).count()
+        assert found == (40 * 39 // 2 if meet else 0)
