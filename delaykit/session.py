@@ -73,7 +73,19 @@ def build_session(app_name="delaykit", conf=None, master=None, env=None) -> Spar
 WORK_FOLDER = "/tmp/checkpoints"
 
 
+def check_shared(master: str, file_system: str | None) -> None:
+    """Raises where executors on other machines would not see the default file system."""
+    if not master.startswith("local") and (file_system or "file:").startswith("file:"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+
+
 def new_work_dir(spark: SparkSession) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, which all executors must see."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or WORK_FOLDER
+    """A fresh folder below ``spark.checkpoint.dir``, which all executors must see.
+
+    Without that setting it lies in the default file system; on a cluster that must not be a machine's own.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        check_shared(spark.sparkContext.master, spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS"))
+        root = WORK_FOLDER
     return f"{root.rstrip('/')}/delaykit/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"

@@ -1,7 +1,9 @@
 """Running numbers over a table."""
 
+import pytest
 from pyspark.sql import functions as F
 
+from delaykit import session
 from delaykit.operators.numbering import numbered
 
 
@@ -18,3 +20,11 @@ def test_numbers_of_many_copies_and_of_nothing(spark):
     assert found.columns == ["k", "v", "n"]
     assert sorted(r.n for r in found.collect()) == list(range(1000))
     assert numbered(df.filter("false"), ["k"]).count() == 0
+
+
+def test_working_folders_are_shared_on_clusters():
+    session.check_shared("local[8]", "file:///")
+    session.check_shared("yarn", "hdfs://names:8020")
+    for file_system in ("file:///", None):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            session.check_shared("yarn", file_system)
