@@ -148,12 +148,16 @@ def alike(percent: int) -> Column:
 
 
 def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``pairs`` (a, b) with ``linked`` from the full sets."""
+    """``pairs`` (a, b) with ``linked`` from the full sets.
+
+    ``a``, which may stand in very many pairs, is joined while rows are small: with a set in each, they are
+    then spread by ``b``.
+    """
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
     return (
-        pairs.join(right, "b")
-        .join(left, "a")
+        pairs.join(left, "a")
+        .join(right, "b")
         .select(*pairs.columns, alike(percent).alias("linked"))
     )
 
@@ -252,6 +256,16 @@ def meeting_pairs(entries: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def star_pairs(placed: DataFrame, percent: int) -> DataFrame:
+    """(a, b), once each: the members b of every list with its centre and its other one, if their sizes allow a link.
+
+    The intersection has at most the smaller set's size, the union at least the larger one's.
+    """
+    ends = placed.select(F.explode(F.array("centre", "other")).alias("end"), F.col("rep").alias("b"), "n_shingles")
+    near = F.lit(100) * F.least("end.n_shingles", "n_shingles") >= F.lit(percent) * F.greatest("end.n_shingles", "n_shingles")
+    return ends.filter(near).select(F.col("end.rep").alias("a"), "b").filter("a <> b").distinct()
+
+
 def near_links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, words: int, percent: int, coordinates: int, matches: int) -> DataFrame:
     """Edges (a, b) that join every component of alike classes."""
     posted = stored(postings(classes, coordinates, matches), "postings")
@@ -260,18 +274,18 @@ def near_links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str,
     centres = (
         posted.groupBy("key")
         .agg(
-            F.max(F.struct("weight", "rep")).alias("top"),
-            F.min(F.struct(F.xxhash64("key", "rep").alias("hash"), F.col("rep"))).alias("any"),
+            F.max(F.struct("weight", "rep", "n_shingles")).alias("top"),
+            F.min(F.struct(F.xxhash64("key", "rep").alias("hash"), F.col("rep"), F.col("n_shingles"))).alias("any"),
             F.count(F.lit(1)).alias("members"),
         )
         .filter("members > 1")
-        .select("key", F.col("top.rep").alias("centre"), F.col("any.rep").alias("other"))
+        .select("key", *[F.struct(f"{c}.rep", f"{c}.n_shingles").alias(name) for c, name in (("top", "centre"), ("any", "other"))])
     )
     placed = posted.select("key", "rep", "n_shingles").join(centres, "key")
-    stars = placed.select(F.explode(F.array("centre", "other")).alias("a"), F.col("rep").alias("b")).filter("a <> b").distinct()
-    linked = stored(compared(stars, sets, percent).filter("linked").select("a", "b"), "stars")
+    linked = stored(compared(star_pairs(placed, percent), sets, percent).filter("linked").select("a", "b"), "stars")
 
     parts = connected_components(linked)
+    placed = placed.withColumn("centre", F.col("centre.rep"))
     members = placed.filter("rep <> centre").join(parts, F.col("rep") == F.col("node"), "left").select(
         "key", "rep", "centre", F.coalesce("component", "rep").alias("part")
     )

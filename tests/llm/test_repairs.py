@@ -313,3 +313,26 @@ def test_texts_on_one_template_do_not_meet_below_the_threshold(spark):
         assert (200 >= 0.8 * (200 + 2 * own)) == meet
         found = near_dedup.meeting_pairs(entries_of(spark, sets, 80), 80).count()
         assert found == (40 * 39 // 2 if meet else 0)
+
+
+def test_pairs_of_a_hot_centre_are_spread_with_their_sets(spark):
+    pairs = spark.createDataFrame([(0, b) for b in range(1, 201)], "a bigint, b bigint")
+    sets = spark.range(201).selectExpr("id AS doc_id", "transform(sequence(1, 20), i -> CAST(i AS BIGINT)) AS shingles")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = near_dedup.compared(pairs, sets, 85).select("linked", F.spark_partition_id().alias("task")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(found) == 200 and all(r.linked for r in found) and len({r.task for r in found}) > 1
+
+
+def test_stars_leave_out_what_sizes_rule_out(spark):
+    rows = [("k", rep, n, ("c", 100), ("o", 60)) for rep, n in (("c", 100), ("o", 60), ("x", 85), ("y", 84), ("z", 117), ("v", 118), ("w", 70))]
+    end = "struct<rep: string, n_shingles: bigint>"
+    placed = spark.createDataFrame(rows + rows[:3], f"key string, rep string, n_shingles bigint, centre {end}, other {end}")
+    found = sorted((r.a, r.b) for r in near_dedup.star_pairs(placed, 85).collect())
+    assert found == [("c", "x"), ("c", "z"), ("o", "w")]
