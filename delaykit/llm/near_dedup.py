@@ -51,6 +51,8 @@ MISS = 5e-5
 BINS = 2**18
 #: Entries of a batch that goes back to Spark.
 ENTRIES = 100_000
+#: Bytes of texts whose sets are held at once.
+PIECE_BYTES = 2**22
 
 
 def matches_for(percent: int, coordinates: int = COORDINATES, miss: float = MISS) -> int:
@@ -123,12 +125,19 @@ def set_hash(shingles: np.ndarray) -> np.uint64:
     return shingles.sum(dtype=np.uint64)
 
 
+def pieces(batch: pa.RecordBatch, size: int = PIECE_BYTES):
+    """The rows of ``batch`` in order, in parts of about ``size`` bytes."""
+    rows = max(1, batch.num_rows * size // max(1, batch.nbytes))
+    for start in range(0, batch.num_rows, rows):
+        yield batch.slice(start, rows)
+
+
 def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
     """(doc_id, shingles) of the sets in ``wanted`` (doc_id, h1)."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in pieces(whole)):
             ids, sets = [], []
             for doc, text, h1 in zip(*(c.to_pylist() for c in batch.columns)):
                 found = shingle_set(text, words)

@@ -8,6 +8,7 @@ import itertools
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -336,3 +337,15 @@ def test_stars_leave_out_what_sizes_rule_out(spark):
     placed = spark.createDataFrame(rows + rows[:3], f"key string, rep string, n_shingles bigint, centre {end}, other {end}")
     found = sorted((r.a, r.b) for r in near_dedup.star_pairs(placed, 85).collect())
     assert found == [("c", "x"), ("c", "z"), ("o", "w")]
+
+
+def test_sets_of_a_large_batch_are_made_in_pieces(spark):
+    batch = pa.RecordBatch.from_pydict({"id": list(range(40)), "text": ["many words " * 100_000] * 40})
+    parts = list(near_dedup.pieces(batch))
+    assert pa.Table.from_batches(parts).column("id").to_pylist() == list(range(40))
+    assert len(parts) > 10 and all(p.num_rows <= 3 for p in parts)
+    assert list(near_dedup.pieces(batch.slice(0, 0))) == []
+    docs = spark.range(1, 301, 1, 1).selectExpr("id AS doc_id", "repeat(concat(id, ' of some words '), 1000 + id) AS text")
+    signed = near_dedup.signed(docs, "doc_id", "text", 3, 4)
+    found = near_dedup.shingle_sets(docs, signed, "doc_id", "text", 3)
+    assert found.selectExpr("count(DISTINCT doc_id)", "count(*)").first()[:] == (300, 300)
