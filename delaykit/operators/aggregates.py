@@ -28,8 +28,9 @@ def null_profile(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(pairs)).filter(F.col("nulls") > 0)
 
 
-def prediction_distribution(df: DataFrame, column: str = "Prediction") -> DataFrame:
-    return df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+def prediction_distribution(df: DataFrame, column: str = "Prediction", rows: str | None = None) -> DataFrame:
+    """Rows per class; ``rows`` names a column with the number that each row stands for."""
+    return df.groupBy(column).agg((F.sum(rows) if rows else F.count(F.lit(1))).alias("n"))
 
 
 def accuracy(df: DataFrame, prediction: str = "Prediction", label: str = "ArrDelayBucket") -> DataFrame:

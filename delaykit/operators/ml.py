@@ -3,8 +3,7 @@
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import Bucketizer, StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delaykit.operators.projections import with_route
@@ -16,6 +15,9 @@ INDEX_COLUMNS = [f"{name}_index" for name in CATEGORY_COLUMNS]
 LABEL = "ArrDelayBucket"
 PREDICTION = "Prediction"
 FEATURES = "Features_vec"
+# Number of rows that a counted row stands for, and what it weighs in a fit.
+ROWS = "Rows"
+WEIGHT = "Weight"
 
 
 def delay_bucket(df: DataFrame, handle_invalid: str = "error") -> DataFrame:
@@ -55,6 +57,11 @@ def trainable(features: DataFrame) -> DataFrame:
     return delay_bucket(with_route(known))
 
 
+def counted_rows(labelled: DataFrame, *also: str) -> DataFrame:
+    """One row for all that are alike in what a model reads, in class and in ``also``, with their number."""
+    return labelled.groupBy(*NUMERIC_COLUMNS, *CATEGORY_COLUMNS, LABEL, *also).agg(F.count(F.lit(1)).alias(ROWS))
+
+
 def train(
     labelled: DataFrame,
     seed: int = 27,
@@ -64,11 +71,14 @@ def train(
     num_trees: int = 20,
     max_depth: int = 5,
     partitions: int = 64,
+    counted: DataFrame | None = None,
 ) -> PipelineModel:
     """Index, assemble and fit the forest on rows from ``trainable``, dealt over ``partitions``.
 
     Bins must cover the largest category; they follow from the fitted indexes
-    (one more for unseen values) unless given.
+    (one more for unseen values) unless given. Every row counts, but rows that
+    are alike are drawn as two weighted ones, so a fit costs by distinct rows.
+    ``counted`` has the ``counted_rows`` of the same rows, where they are stored.
     """
     indexes = index_categories(labelled, handle_invalid)
     vectors = assembler()
@@ -81,19 +91,29 @@ def train(
         maxMemoryInMB=max_memory_mb,
         numTrees=num_trees,
         maxDepth=max_depth,
+        weightCol=WEIGHT,
         seed=seed,
     )
-    ready = vectors.transform(indexes.transform(labelled)).select(FEATURES, LABEL)
-    return PipelineModel(stages=[indexes, vectors, forest.fit(_spread(ready, partitions))])
+    # The fit reads its rows several times.
+    dealt = _dealt(counted_rows(labelled) if counted is None else counted, partitions).persist()
+    try:
+        ready = vectors.transform(indexes.transform(dealt)).select(FEATURES, LABEL, WEIGHT)
+        return PipelineModel(stages=[indexes, vectors, forest.fit(ready)])
+    finally:
+        dealt.unpersist()
 
 
-def _spread(df: DataFrame, partitions: int) -> DataFrame:
-    """Even partitions that follow from the rows alone.
+def _dealt(counted: DataFrame, partitions: int) -> DataFrame:
+    """Weighted rows, of two halves where there are two rows or more, in even partitions.
 
-    The forest draws its samples by partition, so the number must not depend on the machine.
+    The forest draws its samples by partition and place there, so both follow from the rows alone. The halves
+    leave at least one row more than the largest category has values, as bins ask for, where the rows had that.
     """
-    vector = F.xxhash64(F.to_json(F.struct(vector_to_array(FEATURES).alias("f"), F.col(LABEL).alias("l"))))
-    return df.repartition(partitions, vector)
+    columns = [*NUMERIC_COLUMNS, *CATEGORY_COLUMNS, LABEL]
+    less = F.floor(F.col(ROWS) / 2)
+    parts = F.filter(F.array(F.col(ROWS) - less, less), lambda n: n > 0)
+    weighted = counted.select(*columns, F.explode(parts.cast("array<double>")).alias(WEIGHT))
+    return weighted.repartition(partitions, *columns).sortWithinPartitions(*columns, WEIGHT)
 
 
 def split_holdout(df: DataFrame, holdout: float = 0.2, seed: int = 27) -> tuple[DataFrame, DataFrame]:
@@ -102,15 +122,23 @@ def split_holdout(df: DataFrame, holdout: float = 0.2, seed: int = 27) -> tuple[
     The split does not depend on the layout of the data, and all copies of a
     row fall on one side, so that none of them leaks into the evaluation.
     """
-    side = F.pmod(F.xxhash64(*df.columns, F.lit(seed)), F.lit(1_000_000)) < int(holdout * 1_000_000)
+    side = held_out_side(df, holdout, seed)
     return df.filter(~side), df.filter(side)
 
 
+def held_out_side(df: DataFrame, holdout: float = 0.2, seed: int = 27) -> Column:
+    """Whether ``split_holdout`` holds a row of ``df`` out."""
+    return F.pmod(F.xxhash64(*df.columns, F.lit(seed)), F.lit(1_000_000)) < int(holdout * 1_000_000)
+
+
 def evaluate(model: PipelineModel, **splits: DataFrame) -> DataFrame:
-    """Rows and accuracy of every named split, in one pass over their union."""
+    """Rows and accuracy of every named split, in one pass over their union; ``counted_rows`` stand for their number."""
     scored = None
     for name, df in splits.items():
-        part = model.transform(df).select(F.lit(name).alias("split"), PREDICTION, LABEL)
+        rows = F.col(ROWS) if ROWS in df.columns else F.lit(1).cast("long")
+        part = model.transform(df).select(F.lit(name).alias("split"), PREDICTION, LABEL, rows.alias(ROWS))
         scored = part if scored is None else scored.unionByName(part)
-    right = (F.col(PREDICTION) == F.col(LABEL)).cast("double")
-    return scored.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.avg(right).alias("accuracy"))
+    right = F.col(PREDICTION) == F.col(LABEL)
+    known = F.sum(F.when(right.isNotNull(), F.col(ROWS)))
+    share = F.sum(F.when(right, F.col(ROWS)).when(~right, 0)) / known
+    return scored.groupBy("split").agg(F.sum(ROWS).alias("n"), share.alias("accuracy"))

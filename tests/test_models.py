@@ -177,3 +177,50 @@ def test_daily_jobs(spark, model, tmp_path):
     # The request without a usable date has no calendar parts and is not scored.
     assert [(r.Route, r.Prediction is not None) for r in results] == [("SFO-ATL", True), ("ATL-SFO", True)]
     assert results[0].Timestamp == datetime(2015, 12, 4, 10)
+
+
+def test_rows_alike_are_counted_and_drawn_as_two(spark, labelled):
+    copies = labelled.limit(40).crossJoin(spark.range(1, 26).select(F.lit(0))).select(labelled.columns)
+    counted = ml.counted_rows(copies)
+    assert counted.agg(F.sum(ml.ROWS)).first()[0] == copies.count()
+    dealt = ml._dealt(counted, 8)
+    assert dealt.rdd.getNumPartitions() == 8 and dealt.count() == 2 * counted.count()
+    assert dealt.agg(F.sum(ml.WEIGHT)).first()[0] == copies.count()
+    single = ml.counted_rows(labelled.dropDuplicates([*ml.NUMERIC_COLUMNS, *ml.CATEGORY_COLUMNS, ml.LABEL]))
+    assert ml._dealt(single, 8).count() == single.count()
+
+
+def test_forest_reads_copies_as_weighted_rows(spark, labelled):
+    copies = labelled.crossJoin(spark.range(30).select(F.lit(0))).select(labelled.columns)
+    fitted = ml.train(copies, seed=1, num_trees=2)
+    assert fitted.stages[2].getWeightCol() == ml.WEIGHT
+    assert fitted.stages[2].summary.predictions.count() <= 2 * ml.counted_rows(labelled).count()
+    # Indexes follow the rows, not the distinct ones.
+    assert fitted.stages[0].labelsArray == ml.index_categories(copies).labelsArray
+    # Few distinct rows have enough of them for the bins of their largest category.
+    few = labelled.dropDuplicates(["Route"]).limit(3)
+    assert ml.train(few.union(few.limit(1)), seed=1, num_trees=2, max_bins=4).stages[2].getNumTrees == 2
+
+
+def test_forest_does_not_depend_on_layout(labelled):
+    one, other = (ml.train(rows, seed=1).stages[2].toDebugString for rows in (labelled.coalesce(1), labelled.repartition(13)))
+    assert one.partition("\n")[2] == other.partition("\n")[2]
+
+
+def test_counted_rows_are_evaluated_as_their_rows(spark, labelled, model):
+    copies = labelled.union(labelled.filter("DepDelay > 0"))
+    counted = ml.counted_rows(copies)
+    assert counted.count() < copies.count()
+    assert ml.evaluate(model, all=counted).collect() == ml.evaluate(model, all=copies).collect()
+
+
+def test_training_job_counts_each_side_whole(spark, labelled, tmp_path):
+    table = str(tmp_path / "features")
+    rows = extract_features(flights(spark))
+    rows.union(rows).write.parquet(table)
+    model, reports = training.train_job(spark.read.parquet(table), str(tmp_path / "model"), seed=1)
+    sides = ml.split_holdout(ml.trainable(spark.read.parquet(table)), seed=1)
+    accuracy = {r.split: r.n for r in reports["accuracy"].collect()}
+    assert (accuracy["training"], accuracy["holdout"]) == tuple(side.count() for side in sides)
+    expected = model.transform(sides[1]).groupBy("Prediction").agg(F.count(F.lit(1)).alias("n"))
+    assert sorted(reports["distribution"].collect()) == sorted(expected.collect())
