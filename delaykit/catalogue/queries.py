@@ -343,7 +343,7 @@ def _distances(spark, sf_dir) -> DataFrame:
 
 
 def _labelled(spark, sf_dir) -> DataFrame:
-    """Labelled features, stored because indexes and vectors both read them."""
+    """Labelled features, stored because indexes, vectors and the forest read them."""
     make = lambda f: ml.trainable(extract_features(V.flights(spark, sf_dir))).write.parquet(f"{f}/labelled")
     return spark.read.parquet(f"{_once(spark, sf_dir, 'labelled', make)}/labelled")
 
@@ -854,12 +854,11 @@ _FORESTS: dict[tuple[str, str], tuple[str, dict[str, DataFrame]]] = {}
 
 
 def _forest(spark, sf_dir) -> tuple[PipelineModel, dict[str, DataFrame]]:
-    """Forest trained on the stored features of ``sf_dir``, once per application."""
+    """Forest trained on the stored labelled features of ``sf_dir``, once per application."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _FORESTS:
         folder = new_work_dir(spark)
-        extract_features(V.flights(spark, sf_dir)).write.parquet(f"{folder}/features")
-        _, reports = train_job(spark.read.parquet(f"{folder}/features"), f"{folder}/model")
+        _, reports = train_job(_labelled(spark, sf_dir), f"{folder}/model")
         _FORESTS[key] = (f"{folder}/model", reports)
     path, reports = _FORESTS[key]
     return models.load_model(path), reports
