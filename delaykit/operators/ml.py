@@ -3,6 +3,7 @@
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import Bucketizer, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,8 +77,8 @@ def train(
     """Index, assemble and fit the forest on rows from ``trainable``, dealt over ``partitions``.
 
     Bins must cover the largest category; they follow from the fitted indexes
-    (one more for unseen values) unless given. Every row counts, but rows that
-    are alike are drawn as two weighted ones, so a fit costs by distinct rows.
+    (one more for unseen values) unless given. Every row counts; where many are
+    alike, those are drawn as two weighted ones, so that a fit costs by distinct rows.
     ``counted`` has the ``counted_rows`` of the same rows, where they are stored.
     """
     indexes = index_categories(labelled, handle_invalid)
@@ -91,18 +92,38 @@ def train(
         maxMemoryInMB=max_memory_mb,
         numTrees=num_trees,
         maxDepth=max_depth,
-        weightCol=WEIGHT,
         seed=seed,
     )
-    # The fit reads its rows several times.
-    dealt = _dealt(counted_rows(labelled) if counted is None else counted, partitions).persist()
-    try:
+    alike = counted_rows(labelled) if counted is None else counted
+    if _many_alike(alike):
+        forest.setWeightCol(WEIGHT)
+        dealt = _dealt(alike, partitions).persist()
         ready = vectors.transform(indexes.transform(dealt)).select(FEATURES, LABEL, WEIGHT)
+    else:
+        every = vectors.transform(indexes.transform(labelled)).select(FEATURES, LABEL)
+        ready = dealt = _spread(every, partitions).persist()
+    # Kept, because the fit reads its rows several times.
+    try:
         return PipelineModel(stages=[indexes, vectors, forest.fit(ready)])
     finally:
         dealt.unpersist()
 
 
+def _spread(df: DataFrame, partitions: int) -> DataFrame:
+    """Even partitions that follow from the rows alone.
+
+    The forest draws its samples by partition, so the number must not depend on the machine.
+    """
+    vector = F.xxhash64(F.to_json(F.struct(vector_to_array(FEATURES).alias("f"), F.col(LABEL).alias("l"))))
+    return df.repartition(partitions, vector)
+
+
+def _many_alike(counted: DataFrame) -> bool:
+    """Whether two rows for each kind of row are at most half of all rows."""
+    every, drawn = counted.agg(F.sum(ROWS), F.sum(F.least(F.col(ROWS), F.lit(2)))).first()
+    return every is not None and every >= 2 * drawn
+
+
 def _dealt(counted: DataFrame, partitions: int) -> DataFrame:
     """Weighted rows, of two halves where there are two rows or more, in even partitions.
 

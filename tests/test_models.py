@@ -190,21 +190,31 @@ def test_rows_alike_are_counted_and_drawn_as_two(spark, labelled):
     assert ml._dealt(single, 8).count() == single.count()
 
 
-def test_forest_reads_copies_as_weighted_rows(spark, labelled):
+def test_forest_reads_many_copies_as_weighted_rows(spark, labelled):
     copies = labelled.crossJoin(spark.range(30).select(F.lit(0))).select(labelled.columns)
     fitted = ml.train(copies, seed=1, num_trees=2)
     assert fitted.stages[2].getWeightCol() == ml.WEIGHT
     assert fitted.stages[2].summary.predictions.count() <= 2 * ml.counted_rows(labelled).count()
     # Indexes follow the rows, not the distinct ones.
     assert fitted.stages[0].labelsArray == ml.index_categories(copies).labelsArray
-    # Few distinct rows have enough of them for the bins of their largest category.
-    few = labelled.dropDuplicates(["Route"]).limit(3)
-    assert ml.train(few.union(few.limit(1)), seed=1, num_trees=2, max_bins=4).stages[2].getNumTrees == 2
+    # The layout of the rows makes no difference.
+    again = ml.train(copies.repartition(13), seed=1, num_trees=2)
+    assert fitted.stages[2].toDebugString.partition("\n")[2] == again.stages[2].toDebugString.partition("\n")[2]
+
 
+def test_forest_reads_every_row_where_few_are_alike(labelled):
+    fitted = ml.train(labelled.union(labelled), seed=1, num_trees=2)
+    assert not fitted.stages[2].isSet("weightCol")
+    assert fitted.stages[2].summary.predictions.count() == 2 * labelled.count()
 
-def test_forest_does_not_depend_on_layout(labelled):
-    one, other = (ml.train(rows, seed=1).stages[2].toDebugString for rows in (labelled.coalesce(1), labelled.repartition(13)))
-    assert one.partition("\n")[2] == other.partition("\n")[2]
+
+def test_few_kinds_of_rows_suffice_for_the_bins(labelled):
+    few = labelled.dropDuplicates(["Route"]).limit(3)
+    copies = few
+    for _ in range(4):
+        copies = copies.union(few)
+    fitted = ml.train(copies, seed=1, num_trees=2, max_bins=4)
+    assert fitted.stages[2].getNumTrees == 2 and fitted.stages[2].getWeightCol() == ml.WEIGHT
 
 
 def test_counted_rows_are_evaluated_as_their_rows(spark, labelled, model):
