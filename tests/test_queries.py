@@ -3,7 +3,9 @@
 import pytest
 
 import __spark_entry__ as entry
+from delaykit.catalogue import queries as catalogue
 from delaykit.catalogue.registry import ORACLES, QUERIES
+from delaykit.plans.features import extract_features
 from tests.compare import connect, differences
 from tests.conftest import SMALL
 
@@ -37,6 +39,15 @@ def test_has_rows(spark, name):
     assert QUERIES[name](spark, SMALL).count() > 0
 
 
+def test_report_makes_the_features_once(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(catalogue, "_FORESTS", {})
+    monkeypatch.setattr(catalogue, "_STORED", {})
+    monkeypatch.setattr(catalogue, "extract_features", lambda rows: made.append(rows) or extract_features(rows))
+    assert QUERIES["forest_report"](spark, SMALL).first().beats_largest_class
+    assert len(made) == 1
+
+
 UNWANTED = ["CartesianProduct", "BroadcastNestedLoopJoin", "Window", "PythonUDF", "EvalPython", "InPandas", "Exchange SinglePartition, REPARTITION"]
 
 
